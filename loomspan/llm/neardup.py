@@ -6,8 +6,9 @@ minima of universal hashes a*x+b; nodes that agree in all rows of a band are
 candidates, and the shared part of the two sets decides. Components of the
 verified links come from alternating large-star and small-star steps.
 
-Band keys travel as sorted, delta-coded blocks instead of rows, which halves
-the shuffle. A key that more than HOT_KEY nodes share would give a quadratic
+Band keys travel as sorted, delta-coded blocks instead of rows, which more than
+halves the shuffle; besides 32 bits of its hash a key is told apart by its
+bucket, of which there are as many as shuffle partitions. A key that more than HOT_KEY nodes share would give a quadratic
 number of pairs; its nodes go to an exact prefix-filter join over their rarest
 sequences instead.
 """
@@ -20,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from loomspan.llm.words import words
@@ -31,7 +33,6 @@ EXPANDED_COPIES = 50
 FLUSH_TEXTS = 40_000
 BLOCK_SETS = 1_000
 SEED = 20250301
-KEY_BITS = 40
 SIZE_BITS = 12
 
 FIELDS = (
@@ -68,6 +69,7 @@ def _node(field: str, found: np.ndarray) -> int:
 def _set_maker(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, int] = {}
+        sent: set[int] = set()
         for batch in batches:
             fields, ids, nodes, sets = [], [], [], []
             for field, key, text in zip(*(batch[c].to_pylist() for c in ("field", "id", "text"))):
@@ -86,12 +88,19 @@ def _set_maker(width: int):
                 found = _runs(np.array(hashed, np.uint64), width)
                 fields.append(field)
                 ids.append(key)
-                nodes.append(_node(field, found))
-                sets.append(found.view(np.int32))
+                node = _node(field, found)
+                nodes.append(node)
+                sets.append(None if node in sent else found.view(np.int32))
+                if len(sent) > 200_000:
+                    sent.clear()
+                sent.add(node)
             if ids:
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+                filled = [s for s in sets if s is not None]
+                offsets = np.concatenate([[0], np.cumsum([0 if s is None else len(s) for s in sets])]).astype(np.int32)
+                values = np.concatenate(filled) if filled else np.empty(0, np.int32)
+                lists = pa.ListArray.from_arrays(offsets, pa.array(values), mask=pa.array([s is None for s in sets]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(fields), pa.array(ids, pa.int64()), pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets)))],
+                    [pa.array(fields), pa.array(ids, pa.int64()), pa.array(nodes, pa.int64()), lists],
                     names=["field", "id", "node", "seqs"],
                 )
 
@@ -99,31 +108,41 @@ def _set_maker(width: int):
 
 
 def text_sets(texts: DataFrame, width: int) -> DataFrame:
-    """(field, id, node, seqs) of each text with at least `width` words."""
+    """(field, id, node, seqs) of each text with at least `width` words.
+
+    A task leaves seqs null where it has lately sent the set of the same node,
+    so a text that fills a large part of all rows is shuffled a few times only.
+    """
     out = "field string, id long, node long, seqs array<int>"
     return texts.select("field", "id", "text").mapInArrow(_set_maker(width), out)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of equal weight together: the high ones of small steps are alike."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _values(buffer: bytes, kind: str, count: int, at: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(buffer, np.uint8, size * count, at).reshape(size, count)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def _pack(keys: np.ndarray, nodes: np.ndarray) -> bytes:
-    """Keys sorted ascending as 4-byte steps (a longer step by an escape), then nodes."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    wide = steps >= np.uint64(0xFFFFFFFF)
-    short = np.where(wide, np.uint64(0xFFFFFFFF), steps).astype("<u4")
-    head = np.array([len(keys), int(wide.sum())], "<u4").tobytes()
-    # Bytes of equal weight together: the high ones of small steps are alike.
-    planes = short.view(np.uint8).reshape(-1, 4).T.tobytes()
-    return head + planes + steps[wide].astype("<u8").tobytes() + nodes.astype("<u8").tobytes()
+    """32-bit keys, sorted, as steps; nodes as places in the list of distinct nodes."""
+    distinct, place = np.unique(nodes, return_inverse=True)
+    steps = np.diff(keys.astype(np.uint32), prepend=np.uint32(0))
+    head = np.array([len(keys), len(distinct)], "<u4").tobytes()
+    body = _planes(steps.astype("<u4")) + _planes(place.astype("<u4")) + _planes(np.diff(distinct, prepend=np.uint64(0)).astype("<u8"))
+    return head + zstandard.ZstdCompressor(level=1).compress(body)
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n, wide = np.frombuffer(blob, "<u4", 2)
-    n, wide = int(n), int(wide)
-    planes = np.frombuffer(blob, np.uint8, 4 * n, 8).reshape(4, n)
-    steps = np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.uint64)
-    at = 8 + 4 * n
-    if wide:
-        steps[steps == np.uint64(0xFFFFFFFF)] = np.frombuffer(blob, "<u8", wide, at)
-    return np.cumsum(steps, dtype=np.uint64), np.frombuffer(blob, "<u8", n, at + 8 * wide)
+    n, m = (int(x) for x in np.frombuffer(blob, "<u4", 2))
+    body = zstandard.ZstdDecompressor().decompress(blob[8:], max_output_size=8 * n + 8 * m)
+    keys = np.cumsum(_values(body, "<u4", n, 0), dtype=np.uint32)
+    nodes = np.cumsum(_values(body, "<u8", m, 8 * n), dtype=np.uint64)
+    return keys.astype(np.uint64), nodes[_values(body, "<u4", n, 4 * n)]
 
 
 def band_keys(sets: np.ndarray, starts: np.ndarray, rows: int, bands: int) -> np.ndarray:
@@ -155,8 +174,8 @@ def _bander(rows: int, bands: int, buckets: int):
             blocks.append(band_keys(values[index], begin, rows, bands))
         keys = np.concatenate(blocks, axis=1).ravel()
         owner = np.tile(nodes.astype(np.uint64), bands)
-        bucket = (keys >> np.uint64(40)) % np.uint64(buckets)
-        keys = keys & np.uint64((1 << KEY_BITS) - 1)
+        bucket = (keys >> np.uint64(32)) % np.uint64(buckets)
+        keys = keys & np.uint64(0xFFFFFFFF)
         order = np.lexsort((owner, keys, bucket))
         keys, owner, bucket = keys[order], owner[order], bucket[order]
         cuts = np.flatnonzero(np.diff(bucket)) + 1
@@ -284,21 +303,25 @@ def _prefix_pairs(hot: DataFrame, sets: DataFrame, threshold: float) -> DataFram
 def similar_nodes(sets: DataFrame, threshold: float, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """(a, b), a < b: nodes whose sets share at least `threshold` of their union."""
     spark = sets.sparkSession
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = sets.select("node", "seqs").mapInArrow(_bander(rows, bands, buckets), "bucket int, hot boolean, blob binary")
-    grouped = blocks.repartition("bucket").sortWithinPartitions("bucket")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Partitioned by node once; both joins below and the bands read it in place.
+    unique = sets.filter("seqs is not null").select("node", "seqs").repartition(parts, "node").dropDuplicates(["node"]).persist()
+    blocks = unique.mapInArrow(_bander(rows, bands, parts), "bucket int, hot boolean, blob binary")
+    grouped = blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
     found = grouped.mapInArrow(_pairer(threshold), "a long, b long, hot boolean").persist()
-    unique = sets.select("node", "seqs").dropDuplicates(["node"])
-    candidates = found.filter("not hot").select("a", "b").distinct()
+    candidates = found.filter("not hot").select("a", "b")
     if not found.filter("hot").isEmpty():
-        candidates = candidates.union(_prefix_pairs(found.filter("hot"), unique, threshold)).distinct()
+        candidates = candidates.union(_prefix_pairs(found.filter("hot"), unique, threshold))
     a = unique.select(F.col("node").alias("a"), F.col("seqs").alias("sa"))
     b = unique.select(F.col("node").alias("b"), F.col("seqs").alias("sb"))
-    shared = F.size(F.array_intersect("sa", "sb"))
+    # shared >= t * (sa + sb - shared), written so that the intersection is taken once
+    least = (F.size("sa") + F.size("sb")) * (threshold / (1 + threshold))
     return (
-        candidates.join(a, "a")
-        .join(b, "b")
-        .filter(shared >= threshold * (F.size("sa") + F.size("sb") - shared) - 1e-9)
+        candidates.repartition(parts, "a")
+        .distinct()
+        .join(a.hint("merge"), "a")
+        .join(b.hint("merge"), "b")
+        .filter(F.size(F.array_intersect("sa", "sb")) >= least - 1e-9)
         .select("a", "b")
     )
 
@@ -324,19 +347,16 @@ def similar_pairs(texts: DataFrame, width: int, threshold: float) -> DataFrame:
     """
     sets = text_sets(texts, width).persist()
     ids = sets.select("field", "node", "id").distinct().persist()
-    groups = ids.groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    shared = groups.filter("copies > 1")
-    several = ids.join(shared, "node")
-    few = several.filter(F.col("copies") <= EXPANDED_COPIES)
-    other = few.select("node", F.col("id").alias("id_b"))
-    inside = few.join(other, "node").filter("id < id_b").select("field", F.col("id").alias("id_a"), "id_b")
-    star = several.filter((F.col("copies") > EXPANDED_COPIES) & (F.col("id") != F.col("rep")))
-    star = star.select("field", F.col("rep").alias("id_a"), F.col("id").alias("id_b"))
-
-    speaking = ids.join(
-        shared.filter(F.col("copies") > EXPANDED_COPIES).select("node", F.col("rep").alias("id"), F.lit(1).alias("rep")), ["node", "id"], "left"
-    ).join(shared.filter(F.col("copies") > EXPANDED_COPIES).select("node", "copies"), "node", "left")
-    speaking = speaking.filter("copies is null or rep = 1").select("field", "node", "id")
+    # One text has one field: the node's hash holds it.
+    groups = ids.groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.min("field").alias("field")).persist()
+    few = ids.select("node", "id").join(groups.filter(f"copies between 2 and {EXPANDED_COPIES}").select("node", "field"), "node").persist()
+    inside = few.join(few.select("node", F.col("id").alias("id_b")), "node").filter("id < id_b")
+    inside = inside.select("field", F.col("id").alias("id_a"), "id_b")
+    many = groups.filter(f"copies > {EXPANDED_COPIES}").select("node", "rep", "field")
+    star = ids.select("node", "id").join(many, "node").filter("id <> rep").select("field", F.col("rep").alias("id_a"), F.col("id").alias("id_b"))
+
+    alone = groups.filter(f"copies = 1 or copies > {EXPANDED_COPIES}").select("node", F.col("rep").alias("id"), "field")
+    speaking = alone.unionByName(few)
     links = similar_nodes(sets, threshold)
     a = speaking.select("field", F.col("node").alias("a"), F.col("id").alias("ia"))
     b = speaking.select(F.col("node").alias("b"), F.col("id").alias("ib"))
