@@ -82,9 +82,23 @@ def _suspicion() -> re.Pattern:
 _SUSPICIOUS = _suspicion()
 
 
+_CANDIDATE = re.compile(f"[^\\x00-\\x7f]{{2,}}|{LOST}|[A-Za-z][Ѐ-џ]|[Ѐ-џ][A-Za-z]")
+_LATIN = re.compile("[À-ÿ]{3}")
+_checked: dict[str, bool] = {}
+
+
 def suspicious(text: str) -> bool:
     """False if the clean state is certain; true says only that the model must decide."""
-    return not text.isascii() and _SUSPICIOUS.search(text) is not None or "&" in text and _ENTITY.search(text) is not None
+    if not text.isascii():
+        for part in set(_CANDIDATE.findall(text)):
+            hit = _checked.get(part)
+            if hit is None:
+                if len(_checked) > 100_000:
+                    _checked.clear()
+                hit = _checked[part] = _SUSPICIOUS.search(part) is not None
+            if hit:
+                return True
+    return "&" in text and _ENTITY.search(text) is not None
 
 
 def _groups(state: int, run: str, at: int):
@@ -123,6 +137,31 @@ class Model:
     def __init__(self, logs: dict[str, float]) -> None:
         self.logs = logs
         self.states = len(PAIRS) + 1
+        self.gains: dict[str, bool] = {}
+
+    def suspicious(self, text: str) -> bool:
+        """False if no label but clean can win: no group is likelier than its characters."""
+        if not text.isascii():
+            for part in set(_CANDIDATE.findall(text)):
+                hit = self.gains.get(part)
+                if hit is None:
+                    if len(self.gains) > 100_000:
+                        self.gains.clear()
+                    hit = self.gains[part] = self._gains(part)
+                if hit:
+                    return True
+        return "&" in text and _ENTITY.search(text) is not None
+
+    def _gains(self, part: str) -> bool:
+        if not _SUSPICIOUS.search(part):
+            return False
+        if LOST in part or part[0] < "\x80" or part[-1] < "\x80" or _LATIN.search(part):
+            return True
+        for at, groups in enumerate(_options(part)):
+            for s, size, char in groups:
+                if PAIRS[s - 1][1] == "utf-8" and self.emit(char) > sum(self.emit(c) for c in part[at : at + size]):
+                    return True
+        return False
 
     def emit(self, char: str) -> float:
         return self.logs.get(char, UNSEEN)
@@ -198,10 +237,10 @@ class Model:
         found: list[str] = []
         if "&" in text and _ENTITY.search(text):
             plain = html.unescape(text)
-            if suspicious(plain) and self.labels(plain):
+            if self.suspicious(plain) and self.labels(plain):
                 text, found = plain, ["escaped"]
         for turn in range(MAX_PASSES):
-            if text.isascii() or not _SUSPICIOUS.search(text):
+            if not self.suspicious(text):
                 break
             spans = self.labels(text, turn == 0)
             if not spans:
@@ -279,7 +318,7 @@ def _finder(logs: dict[str, float], with_text: bool):
         for batch in batches:
             out: list[tuple] = []
             for tbl, row_id, text in zip(*(batch[c].to_pylist() for c in ("tbl", "row_id", "text"))):
-                if text and suspicious(text):
+                if text and model.suspicious(text):
                     restored, found = model.repair(text)
                     if found:
                         out.append((tbl, row_id, ",".join(found), restored if with_text else ""))
