@@ -1,0 +1,29 @@
+"""Positions of rows in a global order, without gathering any group in one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from loomspan.session import persisted
+
+
+def ranked(df: DataFrame, order: list[Column | str], label: str) -> DataFrame:
+    """Adds `position` (0, 1, ...) in the given total order.
+
+    The rows are range-partitioned and sorted, written with their partition
+    and place in it, and the partitions' row counts (one per partition) give
+    the offsets.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id()
+    stored = persisted(spread.withColumn("_part", F.shiftright(place, 33)).withColumn("_at", place.bitwiseAND((1 << 33) - 1)), label)
+    counts = sorted(stored.groupBy("_part").count().collect())
+    offsets, total = [], 0
+    for part, count in counts:
+        offsets.append((part, total))
+        total += count
+    starts = spark.createDataFrame(offsets, "_part long, _start long")
+    joined = stored.join(F.broadcast(starts), "_part")  # one row per partition
+    return joined.withColumn("position", F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
