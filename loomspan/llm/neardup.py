@@ -60,9 +60,9 @@ def _runs(w: np.ndarray, width: int) -> np.ndarray:
     return np.unique((mixed >> np.uint64(32)).astype(np.uint32))
 
 
-def _node(field: str, found: np.ndarray) -> int:
+def _node(found: np.ndarray) -> int:
     """52 bits of the set's hash and the set's size, limited to 12 bits."""
-    digest = xxhash.xxh3_64_intdigest(found.tobytes(), seed=len(field)) >> (SIZE_BITS + 1)
+    digest = xxhash.xxh3_64_intdigest(found.tobytes()) >> (SIZE_BITS + 1)
     return (digest << SIZE_BITS) | min(len(found), (1 << SIZE_BITS) - 1)
 
 
@@ -85,10 +85,11 @@ def _set_maker(width: int):
                     hashed.append(h)
                 if len(hashed) < width:
                     continue
-                found = _runs(np.array(hashed, np.uint64), width)
+                # Another field has other hashes, so texts of two fields never meet.
+                found = _runs(np.array(hashed, np.uint64) ^ np.uint64(xxhash.xxh3_64_intdigest(field)), width)
                 fields.append(field)
                 ids.append(key)
-                node = _node(field, found)
+                node = _node(found)
                 nodes.append(node)
                 sets.append(None if node in sent else found.view(np.int32))
                 if len(sent) > 200_000:
