@@ -93,8 +93,13 @@ def has_own_word(normalized_brand: Column) -> Column:
 def word_ngrams(normalized: Column, size: int) -> Column:
     """Distinct word n-grams of normalized text; none if there are fewer words."""
     words = F.filter(F.split(normalized, " "), lambda w: w != "")
-    grams = F.transform(F.sequence(F.lit(1), F.size(words) - (size - 1)), lambda i: F.array_join(F.slice(words, i, size), " "))
-    return F.when(F.size(words) >= size, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+
+    def grams(w):
+        each = F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.array_join(F.slice(w, i, size), " "))
+        return F.when(F.size(w) >= size, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
+
+    # The list is bound as a variable, so it is split once and not once per n-gram.
+    return F.transform(F.array(words), grams).getItem(0)
 
 
 def bigrams(compact: Column) -> Column:

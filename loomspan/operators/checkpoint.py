@@ -52,8 +52,9 @@ def pending(items: DataFrame, max_failures: int = MAX_FAILURES, limit: int | Non
 
 
 def status_counts(items: DataFrame) -> DataFrame:
-    counted = items.rollup("status").agg(F.count("*").alias("n"), F.grouping("status").alias("g"))
-    return counted.select(F.when(F.col("g") == 1, "total").otherwise(F.col("status")).alias("status"), "n")
+    """Items per status and in total; an empty table has a total of 0."""
+    counted = items.groupBy("status").agg(F.count("*").alias("n"))
+    return counted.unionByName(counted.agg(F.lit("total").alias("status"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")))
 
 
 def enqueue(items: DataFrame, entries: DataFrame) -> DataFrame:
