@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 
+import ahocorasick
+
 # Error messages, script and browser notices, filler and defaults.
 PHRASES = r"""
-(?:error )?\d{3}:? (?:not found|forbidden|internal server error|bad gateway|service unavailable|gateway time-?out|bad request|unauthorized|too many requests|gone|conflict|method not allowed)
 page not found|seite nicht gefunden|page introuvable|página no encontrada|página não encontrada|страница не найдена|ページが見つかりません
 (?:the )?page you are looking for does not exist or has moved|you do not have permission to open this address
 (?:the )?server took too long to answer|(?:the )?upstream service did not respond|please try again in a few minutes
@@ -15,12 +16,12 @@ diese adresse gibt es nicht mehr|cette adresse n.existe plus|esta dirección ya
 error establishing a database connection|access denied|something went wrong|internal error|this site can.t be reached
 (?:this )?site (?:is )?(?:temporarily offline|under maintenance)|under maintenance|temporarily offline
 (?:this )?domain is parked|coming soon ?[-–] ?default page|coming soon|index of /?\S*|welcome to your new site|welcome to nginx
-(?:reference|request id|ray id|incident|error code)(?: number)?:? ?[0-9a-f-]{6,}|nginx(?:/[\d.]+)?|apache(?:/[\d.]+)?
+nginx(?:/[\d.]+)?|apache(?:/[\d.]+)?
 (?:you need to|please) enable javascript(?: to [\w ]+)?|this page requires javascript|it looks switched off|javascript (?:is )?required
 please turn on scripts in your browser and reload|bitte aktivieren sie javascript, um fortzufahren|veuillez activer javascript pour continuer
 (?:your )?browser is not supported|scripts must be allowed for [\w. ]+|verify that you are human by ticking the box
 (?:we are )?checking (?:your browser|that your connection is safe)(?: before you proceed)?|(?:confirm|checking) that your connection is safe before you proceed
-just a moment(?:\.\.\.|…)?|(?:one moment|loading|redirecting)(?:\.\.\.|…)? ?(?:please wait)?|please wait(?:\.\.\.|…)?|attention required!?
+just a moment(?:\.\.\.|…)?|one moment(?:\.\.\.|…)? ?(?:please wait)?|loading(?:\.\.\.|…)? ?(?:please wait)?|redirecting(?:\.\.\.|…)? ?(?:please wait)?|please wait(?:\.\.\.|…)?|attention required!?
 lorem ipsum dolor sit amet, consectetur placeholder copy|dolor amet lorem varius ipsum sed nulla tempor|aenean lorem, ipsum vitae dolor, sit placeat
 lorem ipsum(?: dolor sit amet)?(?:, consectetur adipiscing elit)?|blindtext: hier steht später ihr inhalt|blindtext
 (?:this is )?sample (?:text|page)|replace it with your own words|insert body copy|todo write this section|todo:? \w+(?: \w+){0,3}
@@ -28,7 +29,29 @@ add a short paragraph about your company in this block|your paragraph here|click
 test test(?: test)*|asdf(?: asdf| qwer)*|\[object object\]|undefined(?: undefined)*|nan of null items|null|none|n/a|nan
 untitled(?: document| page)?|new page|(?:default|your|blank|sample|test) page(?: title)?|page title|home page|default|document
 """
-_PHRASE = re.compile(r"(?<!\w)(?:" + "|".join(PHRASES.strip().split("\n")) + r")(?!\w)", re.IGNORECASE)
+# The names of HTTP errors.
+STATUSES = (
+    "not found", "forbidden", "internal server error", "bad gateway", "service unavailable", "gateway timeout", "gateway time-out", "bad request",
+    "unauthorized", "too many requests", "gone", "conflict", "method not allowed",
+)
+# What error pages call their numbers.
+NUMBERS = ("reference", "request id", "ray id", "incident", "error code")
+_RULES = [r"(?:error )?\d{3}:? " + name for name in STATUSES] + [name + r"(?: number)?:? ?[0-9a-f-]{6,}" for name in NUMBERS]
+_RULES += [rule for line in PHRASES.strip().split("\n") for rule in re.split(r"\|(?![^(]*\))", line)]
+def _anchor(rule: str) -> str:
+    """The longest literal that every match of a rule holds."""
+    rule = rule.replace("\\[", "").replace("\\]", "").replace("n/a", "n a")
+    bare = re.sub(r"\{\d,\d?\}|\[[^\]]*\]\S?|\\[a-z](?:\{\d\})?|.\?", "\0", re.sub(r"\((?:[^()]|\([^()]*\))*\)[?*]?", "\0", rule))
+    return max(re.split(r"[^\w,' ]+", bare), key=len).strip()
+
+
+_NO_WORD = re.compile(r"\W+")
+_ANCHORS = ahocorasick.Automaton()
+for _number, _rule in enumerate(_RULES):
+    _key = f" {_NO_WORD.sub(' ', _anchor(_rule))} "
+    _ANCHORS.add_word(_key, (*_ANCHORS.get(_key, ()), _number))
+_ANCHORS.make_automaton()
+_patterns: dict[tuple[int, ...], re.Pattern] = {}
 _WORDS = re.compile(r"[^\W_]+")
 _FORM = r"[A-Za-z_][\w.]*"
 _PLACEHOLDER = re.compile(
@@ -39,8 +62,9 @@ _PLACEHOLDER = re.compile(
 _MENTION = re.compile(
     r"\b(?:notations?|syntax|placeholders?|variables?|template tags?|fill \S+ fields|fields in mails|in invoices|in a mail|fills in|merge (?:tags?|fields?))\b", re.IGNORECASE
 )
+_PARTS = re.compile(r"(?<=[.!?。！？])\s+|(?<=[。！？])|\s+[|–—-]\s+|\s*\|\s*")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
-_MASK = re.compile(r"https?://\S+|\S+@\S+|\b[0-9a-f]{8,}\b|\d{4}-\d\d-\d\d|\d+")
+_MASK = re.compile(r"https?://\S+|\S+@\S+|\b[0-9a-f]{8,}\b|\d{4}-\d\d-\d\d|\d+|[\w-]+(?:\.[\w-]{2,})+")
 
 
 def mask(text: str) -> str:
@@ -48,14 +72,36 @@ def mask(text: str) -> str:
     return " ".join(_MASK.sub("0", text.lower()).split())
 
 
-def phrases(text: str) -> list[str]:
-    """The masked messages in a text."""
-    return [mask(m.group()) for m in _PHRASE.finditer(text)]
+def phrase_pattern(text: str) -> re.Pattern | None:
+    """The rules that can match in a text, by a search for their literals; None if there are none."""
+    hits = {n for _, numbers in _ANCHORS.iter(f" {_NO_WORD.sub(' ', text.lower())} ") for n in numbers}
+    if not hits:
+        return None
+    key = tuple(sorted(hits))
+    found = _patterns.get(key)
+    if found is None:
+        if len(_patterns) > 10_000:
+            _patterns.clear()
+        found = _patterns[key] = re.compile(r"(?<!\w)(?:" + "|".join(_RULES[n] for n in key) + r")(?!\w)", re.IGNORECASE)
+    return found
 
 
-def rest(text: str) -> str:
-    """What remains of a text without its messages."""
-    return _PHRASE.sub(" ", text)
+def sentences(line: str) -> list[str]:
+    """The sentences of a line, those with a phrase taken apart into phrases and what is between."""
+    out = []
+    for part in _PARTS.split(line):
+        if not part or part.isspace():
+            continue
+        pattern = phrase_pattern(part)
+        found = list(pattern.finditer(part)) if pattern else []
+        at, between = 0, []
+        for m in found:
+            between.append(part[at : m.start()])
+            out.append(m.group())
+            at = m.end()
+        # A single word beside a phrase belongs to it.
+        out += [x for x in [*between, part[at:]] if word_count(x) > bool(found)]
+    return out
 
 
 def word_count(text: str) -> int:
@@ -64,7 +110,11 @@ def word_count(text: str) -> int:
 
 def residue_line(line: str) -> bool:
     """A line made of messages alone, but for a word."""
-    return _PHRASE.search(line) is not None and word_count(rest(line)) <= 1
+    pattern = phrase_pattern(line)
+    if pattern is None:
+        return False
+    rest, n = pattern.subn(" ", line)
+    return n > 0 and word_count(rest) <= 1
 
 
 def unfilled(text: str) -> bool:

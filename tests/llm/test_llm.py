@@ -11,23 +11,28 @@ from loomspan.llm import encoding, frames, messages, mixing, neardup, packing, p
 # -- 1: frames -----------------------------------------------------------------
 
 
-def brute_cut(odds, edges):
-    best = min(
-        itertools.product([True, False], repeat=len(odds)),
-        key=lambda s: sum(max(-o, 0) if x else max(o, 0) for x, o in zip(s, odds)) + sum(e for e, a, b in zip(edges, s, s[1:]) if a != b),
-    )
-    cost = lambda s: sum(max(-o, 0) if x else max(o, 0) for x, o in zip(s, odds)) + sum(e for e, a, b in zip(edges, s, s[1:]) if a != b)
-    return cost(best), cost
+def cut_cost(side, odds, edges):
+    terminal = sum(max(-o, 0) if x else max(o, 0) for x, o in zip(side, odds))
+    return terminal + sum(c for a, b, c in edges if side[a] != side[b])
 
 
 def test_min_cut_is_minimal():
     rng = random.Random(1)
-    for _ in range(300):
+    for _ in range(400):
         n = rng.randint(1, 9)
-        odds, edges = [rng.uniform(-3, 3) for _ in range(n)], [rng.uniform(0, 2) for _ in range(n - 1)]
-        best, cost = brute_cut(odds, edges)
-        assert cost(frames.min_cut(odds, edges)) == pytest.approx(best)
-    assert frames.min_cut([], []) == []
+        odds = [rng.uniform(-3, 3) for _ in range(n)]
+        edges = [(a, b, rng.uniform(0, 3)) for a in range(n) for b in range(a + 1, n) if rng.random() < 0.5]
+        u, v, c = (np.array([e[k] for e in edges], float if k == 2 else int) for k in range(3))
+        side = frames.min_cut(np.array(odds), u, v, c)
+        best = min(cut_cost(s, odds, edges) for s in itertools.product([True, False], repeat=n))
+        assert cut_cost(side, odds, edges) == pytest.approx(best)
+    assert len(frames.min_cut(np.empty(0), *(np.empty(0, int),) * 2, np.empty(0))) == 0
+
+
+def test_siblings_are_joined_beyond_neighbours():
+    p = frames.Pages(["one\ntwo\nthree\n\nfour"], [None], frames.Known(({}, {}), {}))
+    u, v, c = frames.page_edges(p)
+    assert dict(zip(zip(u.tolist(), v.tolist()), c.tolist())) == {(0, 1): frames.NEAR, (1, 2): frames.NEAR, (2, 3): frames.FAR, (0, 2): frames.SIBLING}
 
 
 def _pages(spark, rows):
