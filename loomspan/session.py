@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -75,3 +76,13 @@ def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that no query needs any more.
+
+    It does so when the driver's JVM collects their handles, which without this
+    may be long after a step that has been written as a table.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
