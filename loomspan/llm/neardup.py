@@ -7,10 +7,11 @@ candidates, and the shared part of the two sets decides. Components of the
 verified links come from alternating large-star and small-star steps.
 
 Band keys travel as sorted, delta-coded blocks instead of rows, which more than
-halves the shuffle; besides 32 bits of its hash a key is told apart by its
-bucket, of which there are as many as shuffle partitions. A key that more than HOT_KEY nodes share would give a quadratic
-number of pairs; its nodes go to an exact prefix-filter join over their rarest
-sequences instead.
+halves the shuffle. A key belongs to one of as many buckets as the number of
+texts asks for, so a bucket stays small however large the input is, and is told
+apart in it by 32 bits. A key that more than HOT_KEY nodes share would give a
+quadratic number of pairs; its nodes go to an exact prefix-filter join over their
+rarest sequences instead, which loses no pair.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from loomspan.llm.words import words
-from loomspan.session import persisted, table
+from loomspan.session import persisted, release_shuffles, table
 
-ROWS, BANDS = 6, 28
+ROWS, BANDS = 5, 32
+#: Entries of band keys in a bucket, on average.
+BUCKET_ENTRIES = 2_000_000
 HOT_KEY = 64
 EXPANDED_COPIES = 50
 FLUSH_TEXTS = 40_000
@@ -180,14 +183,16 @@ def _bander(rows: int, bands: int, buckets: int):
         order = np.lexsort((owner, keys, bucket))
         keys, owner, bucket = keys[order], owner[order], bucket[order]
         cuts = np.flatnonzero(np.diff(bucket)) + 1
+        rng = np.random.default_rng(int(nodes[0]) & 0xFFFF_FFFF)
         out_bucket, out_hot, out_blob = [], [], []
         for k, o, bk in zip(np.split(keys, cuts), np.split(owner, cuts), np.split(bucket, cuts)):
             _, at, count = np.unique(k, return_index=True, return_counts=True)
             hot = np.repeat(count > HOT_KEY, count)
             if hot.any():
-                # Hot keys go ahead on their own; a marker of node 0 tells the rest.
+                # Hot keys go ahead on their own, to any bucket, since only their nodes
+                # matter; a marker of node 0 tells the rest.
                 marks = k[at[count > HOT_KEY]]
-                out_bucket.append(int(bk[0])), out_hot.append(True), out_blob.append(_pack(k[hot], o[hot]))
+                out_bucket.append(int(rng.integers(buckets))), out_hot.append(True), out_blob.append(_pack(k[hot], o[hot]))
                 k, o = np.concatenate([k[~hot], marks]), np.concatenate([o[~hot], np.zeros(len(marks), np.uint64)])
                 again = np.argsort(k, kind="stable")
                 k, o = k[again], o[again]
@@ -305,11 +310,15 @@ def similar_nodes(sets: DataFrame, threshold: float, rows: int = ROWS, bands: in
     """(a, b), a < b: nodes whose sets share at least `threshold` of their union."""
     spark = sets.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Partitioned by node once; both joins below and the bands read it in place.
-    unique = sets.filter("seqs is not null").select("node", "seqs").repartition(parts, "node").dropDuplicates(["node"]).persist()
-    blocks = unique.mapInArrow(_bander(rows, bands, parts), "bucket int, hot boolean, blob binary")
-    grouped = blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    found = grouped.mapInArrow(_pairer(threshold), "a long, b long, hot boolean").persist()
+    filled = sets.filter("seqs is not null").select("node", "seqs")
+    buckets = max(parts, -(-filled.count() * bands // BUCKET_ENTRIES))
+    blocks = filled.mapInArrow(_bander(rows, bands, buckets), "bucket int, hot boolean, blob binary")
+    grouped = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    found = persisted(grouped.mapInArrow(_pairer(threshold), "a long, b long, hot boolean"), "candidates")
+    del blocks, grouped
+    release_shuffles(spark)
+    # Partitioned by node once; both joins below read it in place.
+    unique = filled.repartition(parts, "node").dropDuplicates(["node"]).persist()
     candidates = found.filter("not hot").select("a", "b")
     if not found.filter("hot").isEmpty():
         candidates = candidates.union(_prefix_pairs(found.filter("hot"), unique, threshold))
@@ -367,13 +376,16 @@ def similar_pairs(texts: DataFrame, width: int, threshold: float) -> DataFrame:
     return across.unionByName(inside).unionByName(star).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     """(node, root): the smallest node of each component of `edges` (a, b).
 
     Alternating large-star and small-star. Neighbour lists are never collected:
-    the least neighbour is a map-side combined minimum that is joined back.
-    Each round is written to the shared folder; the rounds end when the edges
-    repeat, after about log2 of the longest path.
+    the least neighbour is a map-side combined minimum, one row per node, that
+    is joined back; the edges of a hub, the larger side of that join, may be
+    split by AQE, as no group of them has to meet. Each round is written to the
+    shared folder; the rounds end when the edges repeat, after about log2 of the
+    longest path. `rounds` is a guard: components still unfinished then are an
+    error, never a result.
     """
     current = persisted(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     before = None
@@ -390,6 +402,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if mark == before:
             break
         before = mark
+    else:
+        raise RuntimeError(f"components are not finished after {rounds} rounds")
     roots = current.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("root"))
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
 
