@@ -66,10 +66,14 @@ _PARTS = re.compile(r"(?<=[.!?。！？])\s+|(?<=[。！？])|\s+[|–—-]\s+|\
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _MASK = re.compile(r"https?://\S+|\S+@\S+|\b[0-9a-f]{8,}\b|\d{4}-\d\d-\d\d|\d+|[\w-]+(?:\.[\w-]{2,})+")
 
+#: Without any of these there is nothing to mask.
+_MASKED = re.compile(r"[\d@]|://|[0-9a-f]{8}|[\w-]\.[\w-]{2}")
+
 
 def mask(text: str) -> str:
     """Lower case with numbers, addresses, dates and ids replaced, spaces collapsed."""
-    return " ".join(_MASK.sub("0", text.lower()).split())
+    text = text.lower()
+    return " ".join((_MASK.sub("0", text) if _MASKED.search(text) else text).split())
 
 
 def phrase_pattern(text: str) -> re.Pattern | None:
