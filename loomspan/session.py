@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,7 +83,10 @@ def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete shuffle files that no query needs any more.
 
     It does so when the driver's JVM collects their handles, which without this
-    may be long after a step that has been written as a table.
+    may be long after a step that has been written as a table. The first round
+    lets go of what Python still holds in the JVM.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
