@@ -1,12 +1,14 @@
 """Problem 8: documents into containers of fixed capacity, by linear grouping.
 
 Large pieces are sorted by size and cut into groups of equal cardinality; each
-is rounded up to the largest of its group. Over these few sizes, configurations
-are chosen one after the other: each is the best filling bounded knapsack of
-what is left, taken as often as it can be. Actual documents replace the rounded
-sizes by rank, small ones then go best-fit into the room that is really left.
-Only histograms over sizes and residuals, bounded by the capacity, come to the
-driver; ranks and assignments are computed in parallel.
+is rounded up to the largest of its group. Over these few sizes the
+configurations are optimised together: a linear program over all fillings of a
+container, whose columns a knapsack generates from the prices of the sizes.
+Whole multiples are taken from its solution and the few pieces left over are
+fitted best. Actual documents replace the rounded sizes by rank, small ones then
+go best-fit into the room that is really left. Only histograms over sizes and
+residuals, bounded by the capacity, come to the driver; ranks and assignments are
+computed in parallel.
 """
 
 from __future__ import annotations
@@ -17,12 +19,15 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomspan.llm.ranking import ranked
 from loomspan.llm.tokens import token_counts
+from loomspan.operators.positions import ordinals
 from loomspan.session import persisted, table
 
-GROUPS = 48
+#: Groups of sizes; as many sizes as EXACT are not rounded at all.
+GROUPS, EXACT = 160, 480
 SMALL_SHARE = 0.1
+#: Sizes are rounded up to this share of the capacity in the knapsacks, and the linear program ends this near its bound.
+GRID, GAP = 1024, 1e-3
 
 
 def pieces(sizes: DataFrame, targets: DataFrame) -> DataFrame:
@@ -34,38 +39,91 @@ def pieces(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return cut.select("pack_name", "capacity", "doc_id", "piece", F.least("capacity", F.col("tokens") - F.col("piece") * F.col("capacity")).alias("size"))
 
 
+def _priciest(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """The filling of a container that is worth most, by number of pieces."""
+    worth = np.flatnonzero(prices > 0)
+    held = np.zeros(capacity + 1)
+    took: list[np.ndarray] = []
+    at = np.arange(capacity + 1)[None, :] - sizes[worth][:, None]
+    for _ in range(capacity // int(sizes.min())):
+        value = np.where(at >= 0, held[np.maximum(at, 0)] + prices[worth][:, None], -1.0)
+        best = value.argmax(axis=0)
+        more = value[best, np.arange(capacity + 1)]
+        better = more > held + 1e-12
+        if not better.any():
+            break
+        took.append(np.where(better, best, -1))
+        held = np.where(better, more, held)
+    room, filling = capacity, np.zeros(len(sizes), np.int64)
+    for layer in reversed(took):
+        if layer[room] >= 0:
+            piece = worth[layer[room]]
+            filling[piece] += 1
+            room -= int(sizes[piece])
+    return float(prices @ filling), filling
+
+
+def _linear_program(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[float, np.ndarray]]:
+    """Fillings and how often each is used, so that all pieces are in and few containers are used."""
+    unit = max(1, capacity // GRID)
+    grid, room = -(-sizes // unit), capacity // unit
+    grid = np.minimum(grid, room)
+    m = len(sizes)
+    fillings = np.diag(room // grid)
+    inverse = np.diag(1.0 / (room // grid))
+    used = counts / (room // grid)
+    for _ in range(40 * m):
+        prices = inverse.sum(axis=0)
+        value, filling = _priciest(grid, prices, room)
+        # prices / value is feasible in the dual, so its worth is a lower bound.
+        if value <= 1 + 1e-9 or used.sum() <= (prices @ counts) / value * (1 + GAP):
+            break
+        step = inverse @ filling
+        ratio = np.where(step > 1e-9, used / np.where(step > 1e-9, step, 1), np.inf)
+        out = int(ratio.argmin())
+        amount, row = ratio[out], inverse[out] / step[out]
+        used = used - amount * step
+        used[out] = amount
+        inverse -= np.outer(step, row)
+        inverse[out] = row
+        fillings[out] = filling
+        used = np.maximum(used, 0.0)
+    return list(zip(used.tolist(), fillings))
+
+
 def configurations(sizes: list[int], counts: list[int], capacity: int) -> list[tuple[int, list[int]]]:
     """(times, number of each size) until all counts are used."""
-    left = list(counts)
+    left = np.array(counts, np.int64)
     out: list[tuple[int, list[int]]] = []
-    while any(left):
-        best = np.full(capacity + 1, -1, np.int64)
-        best[0] = 0
-        took = []
-        for g, size in enumerate(sizes):
-            use = np.zeros(capacity + 1, np.int8)
-            for _ in range(min(left[g], capacity // size)):
-                shifted = np.full(capacity + 1, -1, np.int64)
-                shifted[size:] = np.where(best[:-size] >= 0, best[:-size] + size, -1)
-                extra = np.zeros(capacity + 1, np.int8)
-                extra[size:] = use[:-size] + 1
-                better = shifted > best
-                if not better.any():
-                    break
-                best = np.where(better, shifted, best)
-                use = np.where(better, extra, use)
-            took.append(use)
-        room = int(np.argmax(best))
-        shape = [0] * len(sizes)
-        for g in range(len(sizes) - 1, -1, -1):
-            n = int(took[g][room])
-            shape[g] = n
-            room -= n * sizes[g]
-        times = min(left[g] // n for g, n in enumerate(shape) if n)
-        out.append((times, shape))
-        for g, n in enumerate(shape):
-            left[g] -= times * n
-    return out
+    kinds = np.flatnonzero(left)
+    if not len(kinds):
+        return out
+    chosen = _linear_program(np.array(sizes, np.int64)[kinds], left[kinds].astype(float), capacity)
+    for used, filling in sorted(chosen, key=lambda x: -x[0]):
+        shape = np.zeros(len(sizes), np.int64)
+        shape[kinds] = filling
+        held = shape > 0
+        times = min(int(used + 1e-6), int((left[held] // shape[held]).min()))
+        if times:
+            out.append((times, shape.tolist()))
+            left -= times * shape
+    # What the fractions leave: a few pieces per size, each where it fits best.
+    rooms: list[tuple[int, int]] = []
+    shapes: list[list[int]] = []
+    for size, g in sorted(((size, g) for g, size in enumerate(sizes)), reverse=True):
+        for _ in range(int(left[g])):
+            at = bisect.bisect_left(rooms, (size, -1))
+            if at == len(rooms):
+                shapes.append([0] * len(sizes))
+                room, box = capacity, len(shapes) - 1
+            else:
+                room, box = rooms.pop(at)
+            shapes[box][g] += 1
+            bisect.insort(rooms, (room - size, box))
+    merged: dict[tuple[int, ...], int] = defaultdict(int)
+    for shape in shapes:
+        merged[tuple(shape)] += 1
+    return out + [(times, list(shape)) for shape, times in merged.items()]
 
 
 class LargePlan:
@@ -76,9 +134,10 @@ class LargePlan:
         self.total = sum(n for _, n in ordered)
         width = max(1, -(-self.total // GROUPS))
         edges = np.cumsum([n for _, n in ordered]) if ordered else np.array([], np.int64)
-        self.starts = list(range(0, self.total, width))
+        # With few sizes each is a group of its own and nothing is rounded.
+        self.starts = [0, *edges[:-1].tolist()] if 0 < len(ordered) <= EXACT else list(range(0, self.total, width))
         sizes = [ordered[int(np.searchsorted(edges, s, "right"))][0] for s in self.starts]
-        counts = [min(width, self.total - s) for s in self.starts]
+        counts = np.diff([*self.starts, self.total]).tolist()
         self.slots: list[tuple[list[int], list[int], list[int]]] = [([0], [], []) for _ in sizes]
         self.containers = 0
         for times, shape in configurations(sizes, counts, capacity):
@@ -201,6 +260,7 @@ def packed(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     big = items.filter(F.col("size") > threshold)
     small = items.filter(F.col("size") <= threshold)
     order = ["pack_name", F.desc("size"), "doc_id", "piece"]
+    ranked = lambda rows, by, label: ordinals(rows, by, label, "position")
 
     histogram = _histogram(big, "size")
     large_plans = {p: LargePlan(h, capacity[p]) for p, h in histogram.items()}
@@ -211,7 +271,7 @@ def packed(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
     filled = placed.groupBy("pack_name", "label").agg((F.first("capacity") - F.sum("size")).alias("room"))
-    boxes = ranked(filled, ["pack_name", "room", "label"], "boxes").persist()
+    boxes = ranked(filled, ["pack_name", "room", "label"], "boxes")
     rooms = _histogram(boxes, "room")
     small_sizes = _histogram(small, "size")
     small_plans = {p: SmallPlan(rooms.get(p, []), h, capacity[p]) for p, h in small_sizes.items()}
@@ -239,5 +299,30 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("pack_name", "capacity_tokens", "containers", "tokens", "fullest", (F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("fill"))
 
 
-QUERIES = {"p8_containers": p8_containers, "p8_fill": p8_fill}
-ORACLE: dict[str, str] = {}
+def p8_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of every packing, as one row per target.
+
+    Every token is in exactly once, no container is above its capacity, only
+    documents larger than a container are split, into as few parts as possible,
+    and containers are numbered without gaps.
+    """
+    documents = table(spark, sf_dir, "documents").filter("doc_id is not null")
+    sizes = persisted(token_counts(documents, ("doc_id",)), "sizes")
+    targets = table(spark, sf_dir, "pack_targets")
+    rows = persisted(packed(sizes, targets), "packed")
+    whole = sizes.agg(F.sum("tokens").alias("all"))
+    boxes = rows.groupBy("pack_name", "container").agg(F.sum("tokens").alias("t"))
+    boxes = boxes.groupBy("pack_name").agg(F.sum("t").alias("tokens"), F.max("t").alias("fullest"), F.count("*").alias("n"), F.max("container").alias("last"))
+    parts = rows.groupBy("pack_name", "doc_id").agg(F.count("*").alias("parts"), F.sum("tokens").alias("t")).join(targets, "pack_name")
+    split = parts.groupBy("pack_name").agg(F.min(F.col("parts") == F.ceil(F.col("t") / F.col("capacity_tokens"))).alias("fewest"))
+    joined = targets.join(boxes, "pack_name").join(split, "pack_name").crossJoin(F.broadcast(whole))  # one row
+    return joined.select(
+        "pack_name", (F.col("tokens") == F.col("all")).alias("all_tokens"), (F.col("fullest") <= F.col("capacity_tokens")).alias("within_capacity"),
+        F.col("fewest").alias("split_least"), (F.col("last") + 1 == F.col("n")).alias("numbered"),
+    )
+
+
+QUERIES = {"p8_containers": p8_containers, "p8_fill": p8_fill, "p8_checks": p8_checks}
+ORACLE: dict[str, str] = {
+    "p8_checks": "select distinct pack_name, true as all_tokens, true as within_capacity, true as split_least, true as numbered from pack_targets"
+}

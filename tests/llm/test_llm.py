@@ -268,9 +268,35 @@ def test_mixing_meets_shares_and_caps(spark):
 
 
 def test_permutations_are_permutations():
-    for n in (1, 2, 7, 64, 1000):
-        factor, shift = mixing.permutation("m", "s", 0, n)
-        assert sorted((factor * i + shift) % n for i in range(n)) == list(range(n))
+    for n in (1, 2, 3, 7, 64, 65, 1000, 4097):
+        got = mixing.permuted(np.arange(n), n, b"key")
+        assert sorted(got.tolist()) == list(range(n))
+        assert n < 7 or got.tolist() != mixing.permuted(np.arange(n), n, b"other").tolist()
+    # Neighbours do not stay at one distance, as they would under a stride.
+    assert len(set(np.diff(mixing.permuted(np.arange(1000), 1000, b"k")).tolist())) > 300
+
+
+def test_chunks_draw_the_same_again():
+    mix = mixing.Mix("m", ("a", "b"), (0.25, 0.75), (10, 10), (20, 20), 150_000)
+    assert sum(mix.counts(c).sum() for c in range(mix.chunks)) == 150_000 and mix.chunks == 3
+    assert (mix.counts(1) == mix.counts(1)).all() and mix.counts(0).shape == (mixing.CHUNK_SHARDS, 2)
+    assert mixing.most_slots(0.5, 0) == 0
+
+
+@pytest.mark.parametrize("capacity, low, high", [(64, 5, 64), (256, 20, 256), (2048, 90, 1500)])
+def test_configurations_are_as_good_as_best_fit(capacity, low, high):
+    import bisect
+
+    rng = random.Random(capacity)
+    sizes = [rng.randint(low, high) for _ in range(1500)]
+    plan = packing.LargePlan(sorted({s: sizes.count(s) for s in set(sizes)}.items()), capacity)
+    filled = np.bincount(plan.place(np.arange(len(sizes))), weights=sorted(sizes, reverse=True))
+    rooms: list = []
+    for s in sorted(sizes, reverse=True):
+        at = bisect.bisect_left(rooms, s)
+        bisect.insort(rooms, (rooms.pop(at) if at < len(rooms) else capacity) - s)
+    assert filled.max() <= capacity and len(filled) == plan.containers
+    assert plan.containers <= len(rooms) * (1.0 if len(set(sizes)) <= packing.EXACT else 1.01)
 
 
 # -- 10: personal information --------------------------------------------------
