@@ -45,28 +45,44 @@ FIELDS = (
 )
 
 
-def sequences(text: str, width: int) -> np.ndarray:
-    """Sorted distinct 32-bit hashes of the runs of `width` words."""
-    w = [xxhash.xxh3_64_intdigest(x) for x in words(text)]
-    if len(w) < width:
-        return np.empty(0, np.uint32)
-    return _runs(np.array(w, np.uint64), width)
+def _node(found: np.ndarray) -> int:
+    """52 bits of the set's hash and the set's size, limited to 12 bits."""
+    digest = xxhash.xxh3_64_intdigest(found.tobytes()) >> (SIZE_BITS + 1)
+    return (digest << SIZE_BITS) | min(len(found), (1 << SIZE_BITS) - 1)
+
 
+def _sets_of(texts: list[str], salts: np.ndarray, width: int, seen: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct sequences of all texts, one text after the other, and where each text's begin.
 
-def _runs(w: np.ndarray, width: int) -> np.ndarray:
-    n = len(w) - width + 1
+    `salts` keep texts of different fields apart: the same words have other hashes.
+    """
+    flat, sizes = [], []
+    for text in texts:
+        w = words(text)
+        try:
+            flat += [seen[x] for x in w]
+        except KeyError:
+            if len(seen) > 200_000:
+                seen.clear()
+            for x in w:
+                if x not in seen:
+                    seen[x] = xxhash.xxh3_64_intdigest(x)
+            flat += [seen[x] for x in w]
+        sizes.append(len(w))
+    size = np.array(sizes, np.int64)
+    owner = np.repeat(np.arange(len(texts)), size)
+    w = np.array(flat, np.uint64) ^ salts[owner]
+    n = max(len(w) - width + 1, 0)
     mixed = w[:n].copy()
     for k in range(1, width):
         mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + w[k : k + n]
     mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    return np.unique((mixed >> np.uint64(32)).astype(np.uint32))
-
-
-def _node(found: np.ndarray) -> int:
-    """52 bits of the set's hash and the set's size, limited to 12 bits."""
-    digest = xxhash.xxh3_64_intdigest(found.tobytes()) >> (SIZE_BITS + 1)
-    return (digest << SIZE_BITS) | min(len(found), (1 << SIZE_BITS) - 1)
+    inside = owner[:n] == owner[width - 1 : width - 1 + n]
+    tagged = np.sort((owner[:n][inside].astype(np.uint64) << np.uint64(32)) | (mixed[inside] >> np.uint64(32)))
+    tagged = tagged[np.append(True, tagged[1:] != tagged[:-1])] if len(tagged) else tagged
+    starts = np.searchsorted(tagged, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(32))
+    return (tagged & np.uint64(0xFFFFFFFF)).astype(np.uint32), starts
 
 
 def _set_maker(width: int):
@@ -74,35 +90,30 @@ def _set_maker(width: int):
         seen: dict[str, int] = {}
         sent: set[int] = set()
         for batch in batches:
-            fields, ids, nodes, sets = [], [], [], []
-            for field, key, text in zip(*(batch[c].to_pylist() for c in ("field", "id", "text"))):
-                if not text or key is None:
-                    continue
-                hashed = []
-                for x in words(text):
-                    h = seen.get(x)
-                    if h is None:
-                        if len(seen) > 200_000:
-                            seen.clear()
-                        h = seen[x] = xxhash.xxh3_64_intdigest(x)
-                    hashed.append(h)
-                if len(hashed) < width:
+            columns = zip(*(batch[c].to_pylist() for c in ("field", "id", "text")))
+            rows = [(f, i, t) for f, i, t in columns if t and i is not None]
+            if not rows:
+                continue
+            salt = {f: xxhash.xxh3_64_intdigest(f) for f in {r[0] for r in rows}}
+            values, starts = _sets_of([t for _, _, t in rows], np.array([salt[f] for f, _, _ in rows], np.uint64), width, seen)
+            fields, ids, nodes, lengths, empty, kept = [], [], [], [], [], []
+            for (field, key, _), begin, end in zip(rows, starts[:-1].tolist(), starts[1:].tolist()):
+                if begin == end:
                     continue
-                # Another field has other hashes, so texts of two fields never meet.
-                found = _runs(np.array(hashed, np.uint64) ^ np.uint64(xxhash.xxh3_64_intdigest(field)), width)
-                fields.append(field)
-                ids.append(key)
+                found = values[begin:end]
                 node = _node(found)
-                nodes.append(node)
-                sets.append(None if node in sent else found.view(np.int32))
+                fields.append(field), ids.append(key), nodes.append(node)
+                empty.append(node in sent)
+                lengths.append(0 if empty[-1] else end - begin)
+                if not empty[-1]:
+                    kept.append(found)
                 if len(sent) > 200_000:
                     sent.clear()
                 sent.add(node)
             if ids:
-                filled = [s for s in sets if s is not None]
-                offsets = np.concatenate([[0], np.cumsum([0 if s is None else len(s) for s in sets])]).astype(np.int32)
-                values = np.concatenate(filled) if filled else np.empty(0, np.int32)
-                lists = pa.ListArray.from_arrays(offsets, pa.array(values), mask=pa.array([s is None for s in sets]))
+                offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                flat = np.concatenate(kept).view(np.int32) if kept else np.empty(0, np.int32)
+                lists = pa.ListArray.from_arrays(offsets, pa.array(flat), mask=pa.array(empty))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(fields), pa.array(ids, pa.int64()), pa.array(nodes, pa.int64()), lists],
                     names=["field", "id", "node", "seqs"],
@@ -356,7 +367,9 @@ def similar_pairs(texts: DataFrame, width: int, threshold: float) -> DataFrame:
     output stays linear in the group. Extra columns are ignored.
     """
     sets = text_sets(texts, width).persist()
-    ids = sets.select("field", "node", "id").distinct().persist()
+    links = persisted(similar_nodes(sets, threshold), "links")
+    release_shuffles(sets.sparkSession)
+    ids = _ids(sets).persist()
     # One text has one field: the node's hash holds it.
     groups = ids.groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.min("field").alias("field")).persist()
     few = ids.select("node", "id").join(groups.filter(f"copies between 2 and {EXPANDED_COPIES}").select("node", "field"), "node").persist()
@@ -367,7 +380,6 @@ def similar_pairs(texts: DataFrame, width: int, threshold: float) -> DataFrame:
 
     alone = groups.filter(f"copies = 1 or copies > {EXPANDED_COPIES}").select("node", F.col("rep").alias("id"), "field")
     speaking = alone.unionByName(few)
-    links = similar_nodes(sets, threshold)
     a = speaking.select("field", F.col("node").alias("a"), F.col("id").alias("ia"))
     b = speaking.select(F.col("node").alias("b"), F.col("id").alias("ib"))
     across = links.join(a, "a").join(b, "b").filter("ia <> ib").select(
@@ -376,6 +388,12 @@ def similar_pairs(texts: DataFrame, width: int, threshold: float) -> DataFrame:
     return across.unionByName(inside).unionByName(star).distinct()
 
 
+def _ids(sets: DataFrame) -> DataFrame:
+    """(field, node, id), each once, partitioned by node, so groups and joins by node find it in place."""
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sets.select("field", "node", "id").repartition(parts, "node").dropDuplicates(["node", "id"])
+
+
 def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     """(node, root): the smallest node of each component of `edges` (a, b).
 
@@ -415,8 +433,9 @@ def similar_groups(texts: DataFrame, width: int = 5, threshold: float = 0.8) ->
     `links` counts the other texts it is directly linked to, copies as one.
     """
     sets = text_sets(texts, width).persist()
-    ids = sets.select("field", "node", "id").distinct().persist()
     links = persisted(similar_nodes(sets, threshold), "links")
+    release_shuffles(sets.sparkSession)
+    ids = _ids(sets).persist()
     roots = components(links)
     degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
     joined = ids.join(roots, "node", "left").join(degree, "node", "left")
