@@ -62,18 +62,20 @@ _PLACEHOLDER = re.compile(
 _MENTION = re.compile(
     r"\b(?:notations?|syntax|placeholders?|variables?|template tags?|fill \S+ fields|fields in mails|in invoices|in a mail|fills in|merge (?:tags?|fields?))\b", re.IGNORECASE
 )
-_PARTS = re.compile(r"(?<=[.!?。！？])\s+|(?<=[。！？])|\s+[|–—-]\s+|\s*\|\s*")
+_PARTS = re.compile(r"[^.!?。！？|]+[.!?。！？|]*")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
-_MASK = re.compile(r"https?://\S+|\S+@\S+|\b[0-9a-f]{8,}\b|\d{4}-\d\d-\d\d|\d+|[\w-]+(?:\.[\w-]{2,})+")
-
-#: Without any of these there is nothing to mask.
-_MASKED = re.compile(r"[\d@]|://|[0-9a-f]{8}|[\w-]\.[\w-]{2}")
+_ADDRESS = re.compile(r"https?://\S+|\S+@\S+")
+_DIGIT = re.compile(r"\d")
+_NUMBER = re.compile(r"\S*\d\S*")
 
 
 def mask(text: str) -> str:
-    """Lower case with numbers, addresses, dates and ids replaced, spaces collapsed."""
+    """Lower-case words with addresses, numbers, dates and ids replaced."""
     text = text.lower()
-    return " ".join((_MASK.sub("0", text) if _MASKED.search(text) else text).split())
+    if "@" in text or "://" in text:
+        text = _ADDRESS.sub(" 0 ", text)
+    text = _NO_WORD.sub(" ", text).strip()
+    return _NUMBER.sub("0", text) if _DIGIT.search(text) else text
 
 
 def phrase_pattern(text: str) -> re.Pattern | None:
@@ -91,13 +93,14 @@ def phrase_pattern(text: str) -> re.Pattern | None:
 
 
 def sentences(line: str) -> list[str]:
-    """The sentences of a line, those with a phrase taken apart into phrases and what is between."""
+    """The sentences and parts of a line, those with a phrase taken apart into phrases and what is between."""
     out = []
-    for part in _PARTS.split(line):
-        if not part or part.isspace():
-            continue
+    for part in _PARTS.findall(line):
         pattern = phrase_pattern(part)
-        found = list(pattern.finditer(part)) if pattern else []
+        if pattern is None:
+            out.append(part)
+            continue
+        found = list(pattern.finditer(part))
         at, between = 0, []
         for m in found:
             between.append(part[at : m.start()])
