@@ -1,15 +1,18 @@
 """Problem 10: personal information in free text, by information-theoretic sanitisation.
 
-Mail addresses, phone and identity numbers and street addresses have forms of
-their own. Names have not: how strongly a term reveals a person is estimated
-from the corpus. Slots that hold persons for certain (the line under a closing
-formula, words after a title) are the protected events; for each term the
-pointwise mutual information of the term and such a slot, in bits, is its
-disclosure, as given or as family name. A span of adjacent name-shaped words is
-a person if its terms disclose more than the threshold together and each one
-some; terms unknown as a whole are judged by their last letters. The counts
-cover all documents; candidates are joined to the disclosing terms, which are
-never gathered in one place.
+Patterns only propose spans. What a span discloses is estimated from the corpus:
+some places hold a protected entity for certain (the lines under a closing
+formula, words after a title, numbers after the name of a document), and the
+pointwise mutual information of a term and such places, in bits, is the term's
+disclosure. For names the terms are the words, as given or as family name, or
+the ending of words unknown as a whole; for numbers the shape of their digits
+and separators; for addresses the word that says what kind of street it is; for
+mail addresses the way they are written, with or without the top domain. A span
+whose terms disclose less than the threshold is left as it is, so numbers of
+orders, batches and versions stay: no protected place ever holds their shapes.
+
+All documents are read once; that scan counts the terms and writes the proposed
+spans. Spans meet the disclosures in joins, which gather neither anywhere.
 """
 
 from __future__ import annotations
@@ -21,20 +24,21 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomspan.session import table
+from loomspan.session import persisted, table
 
 MIN_BITS = 2.0
 JOINT_BITS = 6.0
 ENDING = 4
-MIN_COUNT = 1
+#: Bits the shape or kind of a number, address or mail must disclose; below RARE sightings its class speaks for it.
+FORM_BITS, RARE = 3.0, 8
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID]", "address": "[ADDRESS]", "person": "[PERSON]"}
 
 # The forms of mail addresses, numbers and addresses.
 _DOMAIN = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _LOCAL = r"[A-Za-z0-9À-ÿ](?:[\w.+-]*\w)?"
-EMAIL = re.compile(
-    rf"(?<![\w.+-]){_LOCAL} ?@ ?{_DOMAIN}(?![\w-])"
-    rf"|(?<![\w.+-]){_LOCAL} ?[(\[{{](?:at|AT)[)\]}}] ?[A-Za-z0-9-]+(?: ?(?:\.|[(\[{{](?:dot|DOT)[)\]}}]) ?[A-Za-z0-9-]+)+"
+EMAIL = re.compile(rf"(?<![\w.+-]){_LOCAL} ?@ ?{_DOMAIN}(?![\w-])")
+DISGUISED = re.compile(
+    rf"(?<![\w.+-]){_LOCAL} ?[(\[{{](?:at|AT)[)\]}}] ?[A-Za-z0-9-]+(?: ?(?:\.|[(\[{{](?:dot|DOT)[)\]}}]) ?[A-Za-z0-9-]+)+"
     rf"|(?<![\w.+-]){_LOCAL} (?:at|AT) [A-Za-z0-9-]+(?: (?:dot|DOT) [A-Za-z0-9-]+)+"
 )
 PHONE = re.compile(
@@ -44,7 +48,6 @@ PHONE = re.compile(
     r"|0\d(?:([ .-])\d\d)(?:\2\d\d){3}|0\d{2,4}[/ -]\d{3,8}(?:[ -]\d{2,5}){0,2}|0\d{9,10}"
     r")(?![\w-]|\.\d|/\d)"
 )
-_NOT_PHONE = re.compile(r"(?:\b(?:batch|serial|part|order|ticket|build|version|invoice|ref(?:erence)?|sku|code)\b[^.!?\n]{0,12}|[#$€£])$", re.IGNORECASE)
 ID_NUMBER = re.compile(
     r"(?<![\w-])(?:\d{3}([- ])\d\d\1\d{4}|[A-Z]{2} ?\d\d ?\d\d ?\d\d ?[A-D]|\d{8}-?[A-Z]|[XYZ]\d{7}-?[A-Z]|[A-Z]\d{3}-\d{4}-\d{4})(?![\w-])"
 )
@@ -52,28 +55,27 @@ _LABEL = (
     r"(?:passports?|reisepass|pasaporte|passeport|tax (?:id|number|no\.?)|steuer-?id|steuernummer|tin|nif|nino|ssn|dni|nie|identity (?:card|no\.?|number)"
     r"|id (?:card|no\.?|number)|personalausweis|national insurance(?: no\.?| number)?|licen[cs]e(?: no\.?| number)?|führerschein|permiso|permis)"
 )
-LABELLED_ID = re.compile(
-    rf"(?i:{_LABEL})(?i: (?:no\.?|number|nr\.?|num\.?))?[:# ]{{1,3}}(?i:is )?((?=[A-Z0-9 -]*\d{{2}})[A-Z]{{0,3}}\d[A-Z0-9]*(?:[ -][A-Z0-9]*\d[A-Z0-9]*){{0,4}}(?: [A-Z])?)(?![\w-])"
-)
+_LABELLED = re.compile(rf"{_LABEL}(?: (?:no\.?|number|nr\.?|num\.?))?[:# ]{{1,3}}(?:is )?\Z", re.IGNORECASE)
+_ID_VALUE = re.compile(r"(?<![A-Z0-9-])(?=(?:[A-Z]{1,3} ?)?\d)(?=[A-Z0-9 -]*\d{2})(?:[A-Z]{1,3} ?)?\d[A-Z0-9]*(?:[ -][A-Z0-9]*\d[A-Z0-9]*){0,4}(?: [A-Z])?(?![\w-])")
 _CAP = r"[A-ZÀ-Þ][\wÀ-ÿ’'-]*"
 _PART = r"[A-ZÀ-Þ][^\W\d_]*(?:[’'-][^\W\d_]+)*"
 _TOWN = rf"{_PART}(?: (?:(?:sur|de|la|am|an|der) )*{_PART}(?![\w-]))*"
 _BREAK = r"(?:,? ?\n|, ?| )"
 _STREET_EN = (
-    rf"\d{{1,5}}[a-z]? (?:{_CAP} ){{1,3}}(?:Street|St\.?|Road|Rd\.?|Lane|Ln\.?|Avenue|Ave\.?|Drive|Dr\.?|Boulevard|Blvd\.?|Court|Ct\.?|Way|Place|Square|Terrace|Close)(?!\w)"
+    rf"\d{{1,5}}[a-z]? (?:{_CAP} ){{1,3}}(?P<en>Street|St|Road|Rd|Lane|Ln|Avenue|Ave|Drive|Dr|Boulevard|Blvd|Court|Ct|Way|Place|Square|Terrace|Close)(?!\w)\.?"
     r"(?:,? ?(?:Suite|Apt\.?|Unit|Floor|Flat) ?#?\w+|,? ?#\w+)?"
 )
 _ZIP = r"(?:,? (?:[A-Z]{2} )?\d{5}(?:-\d{4})?|,? [A-Z]{1,2}\d[\dA-Z]? ?\d[A-Z]{2})(?!\w)"
-_STREET_FR = rf"\d{{1,4}}(?: ?bis)?,? (?:rue|avenue|impasse|boulevard|place|allée|chemin|quai)(?: (?:de la|de l[’']|des|du|de|d[’']))? ?{_CAP}(?: {_CAP})*"
+_STREET_FR = rf"\d{{1,4}}(?: ?bis)?,? (?P<fr>rue|avenue|impasse|boulevard|place|allée|chemin|quai)(?: (?:de la|de l[’']|des|du|de|d[’']))? ?{_CAP}(?: {_CAP})*"
 _STREET_DE = (
-    rf"(?:(?:{_CAP}[ -])?{_CAP}(?:straße|strasse|str\.|weg|gasse|platz|allee|ring|ufer|damm)|(?:Alte[rn]?|Am|An der|Im|Zum|Zur|Neue[rn]?|Obere|Untere) {_CAP}) \d{{1,4}} ?[a-z]?(?!\w)"
+    rf"(?:(?:{_CAP}[ -])?{_CAP}(?P<de>straße|strasse|str\.|weg|gasse|platz|allee|ring|ufer|damm)|(?P<de2>Alte[rn]?|Am|An der|Im|Zum|Zur|Neue[rn]?|Obere|Untere) {_CAP}) \d{{1,4}} ?[a-z]?(?!\w)"
 )
-_STREET_ES = rf"(?:Calle|Avenida|Avda\.|Plaza|Paseo|Camino|C/)(?: (?:de la|de los|de las|del|de))? ?{_CAP}(?: {_CAP})*,? \d{{1,4}}(?!\w)"
+_STREET_ES = rf"(?P<es>Calle|Avenida|Avda\.|Plaza|Paseo|Camino|C/)(?: (?:de la|de los|de las|del|de))? ?{_CAP}(?: {_CAP})*,? \d{{1,4}}(?!\w)"
 _PLACE = rf"{_BREAK}\d{{4,5}} {_TOWN}"
 ADDRESS = re.compile(
     rf"(?<!\w)(?:{_STREET_EN}(?:{_BREAK}{_TOWN}(?:{_ZIP})?|{_ZIP})?"
     rf"|{_STREET_FR}(?:{_PLACE})?|{_STREET_DE}(?:{_PLACE})?|{_STREET_ES}(?:{_PLACE})?"
-    rf"|P\.? ?O\.? ?Box \d+(?:{_BREAK}{_TOWN}(?:{_ZIP})?)?|(?:Postfach|Apartado|BP) \d+(?:{_PLACE})?)"
+    rf"|P\.? ?O\.? ?(?P<po>Box) \d+(?:{_BREAK}{_TOWN}(?:{_ZIP})?)?|(?P<po2>Postfach|Apartado|BP) \d+(?:{_PLACE})?)"
 )
 
 # Formulas and titles whose neighbours are persons.
@@ -83,38 +85,80 @@ _NAME = r"[^\W\d_]+(?:[’'-][^\W\d_]+)*"
 _TITLE_SLOT = re.compile(rf"(?<!\w){_TITLE} ({_NAME})(?: [A-ZÀ-Þ]\.)? ({_NAME})")
 _SIGN_SLOT = re.compile(rf"(?:^|\n){_CLOSING},?\n({_NAME})(,?)(?: [A-ZÀ-Þ]\.)? ({_NAME})[ \t]*(?:\n|$)", re.IGNORECASE)
 _TOKEN = re.compile(_NAME)
-#: Given Family, Given I. Family, I. Family, Family Given or Family, Given, in capitals, capitalised or lower case.
-_SPAN = re.compile(rf"(?<![\w@#’'.+-])(?:([A-ZÀ-Þ])\. ?(?:[A-ZÀ-Þ]\. ?)?({_NAME})|({_NAME})(,? )(?:[A-ZÀ-Þ]\. ?)?({_NAME}))(?![\w@+])")
-_BEFORE_LOWER = re.compile(r"(?:^|[.!?)(\n-]\s*|\b(?:by|with|is|to|an|à|a|ist|par|con|por|contact:)\s)$", re.IGNORECASE)
-
-
-def fixed_forms(text: str) -> list[tuple[int, int, str]]:
-    """Spans (start, end, kind) of everything but persons, without overlaps, earlier kinds first."""
-    taken: list[tuple[int, int, str]] = []
-
-    def free(s: int, e: int) -> bool:
-        return all(e <= a or s >= b for a, b, _ in taken)
-
-    for m in EMAIL.finditer(text):
-        taken.append((*m.span(), "email"))
-    for m in ADDRESS.finditer(text):
-        if free(*m.span()):
-            taken.append((*m.span(), "address"))
-    for m in LABELLED_ID.finditer(text):
-        if free(*m.span(1)):
-            taken.append((*m.span(1), "id_number"))
-    for m in ID_NUMBER.finditer(text):
-        if free(*m.span()):
-            taken.append((*m.span(), "id_number"))
-    for m in PHONE.finditer(text):
-        digits = sum(c.isdigit() for c in m.group())
-        if 9 <= digits <= 15 and free(*m.span()) and not _NOT_PHONE.search(text[max(0, m.start() - 24) : m.start()]):
-            taken.append((*m.span(), "phone"))
-    return sorted(taken)
+_UPPER = r"[A-ZÀ-Þ][^\W\d_]*(?:[’'-][^\W\d_]+)*"
+_LOWER = r"[a-zß-ÿ][^\W\d_]+(?:[’'-][^\W\d_]+)*"
+#: Given Family, Given I. Family, Family Given or Family, Given, in capitals or capitalised; I. Family.
+_UPPER_SPAN = re.compile(rf"(?<![\w@#’'.+-])(?:([A-ZÀ-Þ])\. ?(?:[A-ZÀ-Þ]\. ?)?({_UPPER})|({_UPPER})(,? )(?:[A-ZÀ-Þ]\. ?)?({_UPPER}))(?![\w@+])")
+#: In lower case only where a name may begin: after a stop, or a word that persons follow.
+_LOWER_SPAN = re.compile(
+    rf"(?:^|(?<=[.!?)(\n-])\s*|(?<=\s)(?:by|with|is|to|an|à|a|ist|par|con|por|contact:)\s)(({_LOWER})(,? )(?:[A-Za-z]\. ?)?({_LOWER}))(?![\w@+])"
+)
+_BLOCK = re.compile(rf"(?:^|\n){_CLOSING},?\n", re.IGNORECASE)
+BLOCK_LINES = 6
+_DIGIT = re.compile(r"\d")
+
+
+def shape(text: str) -> str:
+    """Digits to 9 and letters to A or a; a leading zero stays, since it says much."""
+    out = re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", re.sub(r"[a-z]", "a", text)))
+    return ("0" + out[1:]) if text[:1] == "0" else out
+
+
+def shape_class(text: str) -> str:
+    """How a number begins and what separates its groups."""
+    first = text[:2] if text[:2] == "00" else text[:1]
+    first = first if first in ("00", "0", "+", "(") else "A" if first.isalpha() else "9"
+    return first + "".join(sorted(set(re.sub(r"\w", "", text[1:]))))
+
+
+def proposals(text: str) -> list[tuple[int, int, str, str, str, bool]]:
+    """(start, end, kind, term, class of the term, in a protected place) of everything but persons.
+
+    No two overlap; mail addresses come first, then addresses, identity numbers
+    and phone numbers.
+    """
+    out: list[tuple[int, int, str, str, str, bool]] = []
+    digits = _DIGIT.search(text) is not None
+    mails = []
+    if "@" in text:
+        mails += EMAIL.finditer(text)
+    lowered = text.lower()
+    if "dot" in lowered or "at)" in lowered or "at]" in lowered or "at}" in lowered:
+        mails += DISGUISED.finditer(text)
+    if not digits and not mails:
+        return out
+    blocks = []
+    for m in _BLOCK.finditer(text):
+        end = text.find("\n\n", m.end())
+        lines = text[m.end() : end if end >= 0 else len(text)].split("\n")[:BLOCK_LINES]
+        blocks.append((m.end(), m.end() + sum(map(len, lines)) + len(lines)))
+
+    def take(m, group: int, kind: str, term: str, of: str, certain: bool = False) -> None:
+        s, e = m.span(group)
+        if all(e <= x[0] or s >= x[1] for x in out):
+            out.append((s, e, kind, term, of, certain or any(a <= s < b for a, b in blocks)))
+
+    for m in mails:
+        form = re.sub(r"[^\W_]+", "a", re.sub(r"[\w.+-]+", "a", m.group(), count=1))
+        form = form if "@" in form else "disguised" + ("(" if not m.group().replace(" ", "").isalnum() else "")
+        take(m, 0, "email", form + re.split(r"\W+", m.group())[-1].lower(), form[:3])
+    if digits:
+        for m in ADDRESS.finditer(text):
+            form = m.lastgroup or "po"
+            take(m, 0, "address", f"{form}:{(m[form] or '').lower()}", form[:2])
+        for m in _ID_VALUE.finditer(text):
+            if _LABELLED.search(text, max(0, m.start() - 48), m.start()):
+                take(m, 0, "id_number", shape(m.group()), shape_class(m.group()), True)
+        for m in ID_NUMBER.finditer(text):
+            take(m, 0, "id_number", shape(m.group()), shape_class(m.group()))
+        for m in PHONE.finditer(text):
+            if 9 <= sum(c.isdigit() for c in m.group()) <= 15:
+                take(m, 0, "phone", shape(m.group()), shape_class(m.group()))
+    return sorted(out)
 
 
 def slots(text: str) -> Iterator[tuple[str, str]]:
-    """(role, term) of the words in protected slots."""
+    """(role, term) of the words in protected places."""
     for m in _TITLE_SLOT.finditer(text):
         if m[1][0].isupper() and m[2][0].isupper():
             yield "given", m[1].lower()
@@ -125,96 +169,137 @@ def slots(text: str) -> Iterator[tuple[str, str]]:
         yield from (("family", part.lower()) for part in family.split("-"))
 
 
-def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def name_spans(text: str, taken: list[tuple]) -> Iterator[tuple[int, int, str | None, str, str]]:
+    """(start, end, given, family, form) of spans that might be names and touch no other proposal."""
+    edges = iter(taken)
+    block = next(edges, None)
+    at = 0
+    while m := _UPPER_SPAN.search(text, at):
+        s, e = m.span()
+        while block and block[1] <= s:
+            block = next(edges, None)
+        # The next candidate may begin with this one's second word.
+        at = m.start(2) if m[2] else m.start(5)
+        if block and block[0] < e:
+            continue
+        if m[2]:
+            yield s, e, None, m[2].lower(), "initial"
+            continue
+        a, b = m[3].lower(), m[5].lower()
+        if "," not in m[4]:
+            yield s, e, a, b, "first"
+        yield s, e, b, a, "last"
+    for m in _LOWER_SPAN.finditer(text):
+        s, e = m.span(1)
+        if all(e <= x[0] or s >= x[1] for x in taken):
+            a, b = m[2].lower(), m[4].lower()
+            if "," not in m[3]:
+                yield s, e, a, b, "first"
+            yield s, e, b, a, "last"
+
+
+_COLUMNS = (
+    ("what", pa.string()), ("doc_id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string()), ("found_text", pa.string()), ("given", pa.string()),
+    ("family", pa.string()), ("form", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("in_given", pa.int64()), ("in_family", pa.int64()),
+)
+_SCANNED = ", ".join(f"{c} {'long' if t == pa.int64() else 'string'}" for c, t in _COLUMNS)
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of three sorts: `term` with counts, `form` and `name` with a proposed span."""
     for batch in batches:
         seen: Counter = Counter()
         held: dict[str, Counter] = {"given": Counter(), "family": Counter()}
-        for text in batch["text"].to_pylist():
-            if text:
-                seen.update(p for t in _TOKEN.findall(text.lower()) for p in t.split("-"))
-                for role, term in slots(text):
-                    held[role][term] += 1
-        terms = list(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(terms, pa.string()), pa.array([seen[t] for t in terms], pa.int64())]
-            + [pa.array([held[r][t] for t in terms], pa.int64()) for r in ("given", "family")],
-            names=["term", "n", "given", "family"],
-        )
+        rows: list[tuple] = []
+        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+            if not text:
+                continue
+            seen.update(_TOKEN.findall(text.lower()))
+            for role, term in slots(text):
+                held[role][term] += 1
+            taken = proposals(text)
+            for s, e, kind, term, of, certain in taken:
+                rows.append(("form", doc_id, s, e, kind, text[s:e], None, None, of, term, int(certain), None, None))
+            for s, e, given, family, form in name_spans(text, taken):
+                rows.append(("name", doc_id, s, e, "person", text[s:e], given, family, form, None, None, None, None))
+        parts: Counter = Counter()
+        for word, n in seen.items():
+            for part in word.split("-"):
+                parts[part] += n
+        rows += [("term", None, None, None, None, None, None, None, None, t, n, held["given"][t], held["family"][t]) for t, n in parts.items()]
+        if rows:
+            cols = list(zip(*rows))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, _COLUMNS)], names=[c for c, _ in _COLUMNS])
 
 
-def disclosures(documents: DataFrame) -> DataFrame:
-    """(term, role, bits): pointwise mutual information of terms and protected slots.
+def scan(documents: DataFrame) -> DataFrame:
+    """The one reading of all documents, written by sort of row."""
+    return persisted(documents.filter("text is not null").select("doc_id", "text").mapInArrow(_scan, _SCANNED), "personal", ["what"])
+
+
+def disclosures(scanned: DataFrame) -> DataFrame:
+    """(term, role, bits): pointwise mutual information of words and protected places.
 
     A term of the form `~xxxx` stands for all words with that ending.
     """
-    counted = documents.select("text").mapInArrow(_term_counts, "term string, n long, given long, family long")
-    terms = counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("n", "given", "family")])
+    counts = ("n", "in_given", "in_family")
+    terms = persisted(scanned.filter("what = 'term'").groupBy("term").agg(*[F.sum(c).alias(c) for c in counts]), "terms")
     endings = terms.filter(F.length("term") > ENDING + 1).groupBy(F.concat(F.lit("~"), F.substring("term", -ENDING, ENDING)).alias("term"))
-    both = terms.unionByName(endings.agg(*[F.sum(c).alias(c) for c in ("n", "given", "family")])).persist()
-    totals = both.filter("substring(term, 1, 1) <> '~'").agg(*[F.sum(c).alias("t_" + c) for c in ("n", "given", "family")])
-    joined = both.filter("given > 0 or family > 0").crossJoin(F.broadcast(totals))  # one row
+    both = terms.unionByName(endings.agg(*[F.sum(c).alias(c) for c in counts])).filter("in_given > 0 or in_family > 0")
+    totals = terms.agg(*[F.sum(c).alias(c) for c in counts]).first()
     out = None
     for role in ("given", "family"):
-        bits = F.log2((F.col(role) / F.col("n")) / (F.col("t_" + role) / F.col("t_n")))
-        part = joined.filter(F.col(role) >= MIN_COUNT).select("term", F.lit(role).alias("role"), bits.alias("bits"))
+        base = (totals[f"in_{role}"] or 0) / max(totals["n"] or 0, 1) or 1.0
+        bits = F.log2(F.col(f"in_{role}") / F.col("n") / F.lit(base))
+        part = both.filter(F.col(f"in_{role}") > 0).select("term", F.lit(role).alias("role"), bits.alias("bits"))
         out = part if out is None else out.unionByName(part)
-    return out.filter(F.col("bits") >= MIN_BITS)
+    return persisted(out.filter(F.col("bits") >= MIN_BITS), "disclosures")
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fixed forms, and spans whose words might be a name, with given and family term."""
-    for batch in batches:
-        rows: list[tuple] = []
-        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-            if not text:
-                continue
-            taken = fixed_forms(text)
-            for s, e, kind in taken:
-                rows.append((doc_id, s, e, kind, text[s:e], None, None, None))
-            edges = iter(taken)
-            block = next(edges, None)
-            at = 0
-            while m := _SPAN.search(text, at):
-                s, e = m.span()
-                while block and block[1] <= s:
-                    block = next(edges, None)
-                # The next candidate may begin with this one's second word.
-                at = m.start(2) if m[2] else m.start(5)
-                if at >= e or at <= s:
-                    at = e
-                if block and block[0] < e:
-                    continue
-                if m[2]:
-                    if m[2][0].isupper():
-                        rows.append((doc_id, s, e, "person", m.group(), None, m[2].lower(), "initial"))
-                    continue
-                a, b = m[3], m[5]
-                lower = a[0].islower() or b[0].islower()
-                if lower and not (a[0].islower() and b[0].islower() and _BEFORE_LOWER.search(text[max(0, s - 12) : s])):
-                    continue
-                if "," not in m[4]:
-                    rows.append((doc_id, s, e, "person", m.group(), a.lower(), b.lower(), "first"))
-                rows.append((doc_id, s, e, "person", m.group(), b.lower(), a.lower(), "last"))
-        if rows:
-            cols = list(zip(*rows))
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string())
-            names = ["doc_id", "start", "stop", "kind", "found_text", "given", "family", "form"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
-
+def disclosing_forms(scanned: DataFrame) -> DataFrame:
+    """Proposed spans of numbers, addresses and mails whose terms disclose enough.
 
-_SPANS = "doc_id long, start long, stop long, kind string, found_text string, given string, family string, form string"
-
-
-def _bits_of(candidates: DataFrame, column: str, role: str, scores: DataFrame) -> DataFrame:
+    A term seen fewer than RARE times is judged by all terms of its class.
+    """
+    forms = scanned.filter("what = 'form'").select("doc_id", "start", "stop", "kind", "found_text", "form", "term", F.col("n").alias("certain"))
+    tokens = F.lit(float(scanned.filter("what = 'term'").agg(F.sum("n")).first()[0] or 1))
+    seen = persisted(forms.groupBy("kind", "form", "term").agg(F.count("*").alias("n"), F.sum("certain").alias("k")), "forms")
+    of_class = seen.groupBy("kind", "form").agg(F.sum("n").alias("cn"), F.sum("k").alias("ck"))
+    of_kind = seen.groupBy("kind").agg(F.sum("k").alias("all"))
+    bits = lambda k, n: F.when(F.col(k) > 0, F.log2(F.col(k) / F.col(n) / (F.col("all") / tokens))).otherwise(F.lit(0.0))
+    judged = seen.join(of_class, ["kind", "form"]).join(of_kind, "kind")
+    judged = judged.withColumn("bits", F.when((F.col("n") < RARE) & (F.col("k") == 0), bits("ck", "cn")).otherwise(bits("k", "n")))
+    fine = judged.filter(F.col("bits") >= FORM_BITS).select("kind", "form", "term")
+    return forms.join(fine, ["kind", "form", "term"]).select("doc_id", "start", "stop", "kind", "found_text")
+
+
+def _bits_of(names: DataFrame, column: str, scores: DataFrame) -> DataFrame:
     """Disclosure of a name column: the least of its hyphenated parts, by word or else by ending."""
-    words_ = candidates.select(F.col(column).alias("name")).filter("name is not null").distinct()
+    words_ = names.select(F.col(column).alias("name")).filter("name is not null").distinct()
     parts = words_.select("name", F.explode(F.split("name", "-")).alias("term"))
     ending = F.concat(F.lit("~"), F.substring("term", -ENDING, ENDING))
-    own = scores.filter(F.col("role") == role).select("term", "bits")
+    own = scores.filter(F.col("role") == column).select("term", "bits")
     by_word = parts.withColumn("ending", ending).join(own, "term", "left")
     by_end = by_word.join(own.select(F.col("term").alias("ending"), F.col("bits").alias("end_bits")), "ending", "left")
     bits = F.coalesce("bits", F.when(F.length("term") > ENDING + 1, F.col("end_bits")), F.lit(0.0))
-    return by_end.groupBy("name").agg(F.min(bits).alias(f"{column}_bits")).withColumnRenamed("name", column)
+    found = by_end.groupBy("name").agg(F.min(bits).alias(f"{column}_bits"))
+    return found.filter(F.col(f"{column}_bits") >= MIN_BITS).withColumnRenamed("name", column)
+
+
+def persons(scanned: DataFrame) -> DataFrame:
+    """Spans whose words disclose a person together, and each one some."""
+    scores = disclosures(scanned)
+    names = scanned.filter("what = 'name'").select("doc_id", "start", "stop", "found_text", "given", "family", "form")
+    # The family name decides first: few of the words in question are one.
+    scored = names.join(persisted(_bits_of(names, "family", scores), "family"), "family")
+    scored = scored.join(persisted(_bits_of(scored, "given", scores), "given"), "given", "left")
+    given, family = F.coalesce("given_bits", F.lit(0.0)), F.col("family_bits")
+    kept = scored.filter(((F.col("form") == "initial") & (family >= JOINT_BITS)) | ((given >= MIN_BITS) & (given + family >= JOINT_BITS)))
+    # Of overlapping candidates the one that discloses most, then the longer; a person has few.
+    best = F.max(F.struct((given + family).alias("b"), (F.col("stop") - F.col("start")).alias("n"), "start", "stop", "found_text"))
+    first = kept.groupBy("doc_id", "start").agg(best.alias("m")).select("doc_id", "m.*")
+    last = first.groupBy("doc_id", "stop").agg(F.max(F.struct("b", "n", "start", "found_text")).alias("m")).select("doc_id", "stop", "m.*")
+    return last.select("doc_id", "start", "stop", F.lit("person").alias("kind"), "found_text")
 
 
 def personal_spans(documents: DataFrame) -> DataFrame:
@@ -224,20 +309,8 @@ def personal_spans(documents: DataFrame) -> DataFrame:
     text is not changed. Columns besides doc_id and text are ignored. Positions
     count code points.
     """
-    found = documents.filter("text is not null").select("doc_id", "text").mapInArrow(_candidates, _SPANS).persist()
-    scores = disclosures(documents).persist()
-    names = found.filter("kind = 'person'")
-    scored = names.join(_bits_of(names, "given", "given", scores), "given", "left").join(_bits_of(names, "family", "family", scores), "family", "left")
-    given, family = F.coalesce("given_bits", F.lit(0.0)), F.coalesce("family_bits", F.lit(0.0))
-    kept = scored.filter(
-        ((F.col("form") == "initial") & (family >= JOINT_BITS)) | ((given >= MIN_BITS) & (family >= MIN_BITS) & (given + family >= JOINT_BITS))
-    )
-    # Of overlapping candidates the one that discloses most, then the longer; a person has few.
-    best = F.max(F.struct((given + family).alias("b"), (F.col("stop") - F.col("start")).alias("n"), "start", "stop", "found_text"))
-    first = kept.groupBy("doc_id", "start").agg(best.alias("m")).select("doc_id", "m.*")
-    last = first.groupBy("doc_id", "stop").agg(F.max(F.struct("b", "n", "start", "found_text")).alias("m")).select("doc_id", "stop", "m.*")
-    persons = last.select("doc_id", "start", "stop", F.lit("person").alias("kind"), "found_text")
-    return found.filter("kind <> 'person'").select("doc_id", "start", "stop", "kind", "found_text").unionByName(persons)
+    scanned = scan(documents)
+    return disclosing_forms(scanned).unionByName(persons(scanned))
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,22 +318,35 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_spans(table(spark, sf_dir, "documents")).select("doc_id", "kind", "found_text").distinct()
 
 
+def replaced(text: str | None, spans: list[dict] | None) -> tuple[str | None, int]:
+    """The text with placeholders, and by how many characters they made it longer."""
+    if text is None or not spans:
+        return text, 0
+    parts, at, more = [], 0, 0
+    for span in sorted(spans, key=lambda x: (x["start"], -x["stop"])):
+        if span["start"] >= at:
+            mark = PLACEHOLDERS[span["kind"]]
+            parts += [text[at : span["start"]], mark]
+            at = span["stop"]
+            more += len(mark) - (at - span["start"])
+    return "".join(parts) + text[at:], more
+
+
 def _replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist()):
-            if text is None or not spans:
-                out.append(text)
-                continue
-            parts, at = [], 0
-            for span in sorted(spans, key=lambda x: (x["start"], -x["stop"])):
-                if span["start"] >= at:
-                    parts += [text[at : span["start"]], PLACEHOLDERS[span["kind"]]]
-                    at = span["stop"]
-            out.append("".join(parts) + text[at:])
+        out = [replaced(t, s)[0] for t, s in zip(batch["text"].to_pylist(), batch["spans"].to_pylist())]
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(out, pa.string())], names=["doc_id", "text"])
 
 
+def _replace_beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        done = [replaced(t, s) for t, s in zip(batch["text"].to_pylist(), batch["spans"].to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [batch["doc_id"], batch["raw"], batch["found"], pa.array([t for t, _ in done], pa.string()), pa.array([m for _, m in done], pa.int64())],
+            names=["doc_id", "raw", "found", "clean", "marks"],
+        )
+
+
 def p10_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its findings replaced by placeholders of their kinds."""
     documents = table(spark, sf_dir, "documents")
@@ -269,5 +355,20 @@ def p10_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "text", "spans").mapInArrow(_replace, "doc_id long, text string")
 
 
-QUERIES = {"p10_found": p10_found, "p10_clean": p10_clean}
-ORACLE: dict[str, str] = {}
+def p10_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of every cleaned document.
+
+    Nothing that was found is left, and without its placeholders the text is
+    as long as before without what was found.
+    """
+    documents = table(spark, sf_dir, "documents")
+    spans = persisted(personal_spans(documents).distinct(), "spans")
+    found = spans.groupBy("doc_id").agg(F.collect_set("found_text").alias("found"), F.collect_list(F.struct("start", "stop", "kind")).alias("spans"))
+    rows = documents.select("doc_id", F.col("text").alias("raw")).join(found, "doc_id", "left")
+    clean = rows.withColumn("text", F.col("raw")).mapInArrow(_replace_beside, "doc_id long, raw string, found array<string>, clean string, marks long")
+    left = F.exists(F.coalesce("found", F.array().cast("array<string>")), lambda x: F.contains("clean", x))
+    return clean.select("doc_id", (~left).alias("nothing_left"), (F.length("clean") == F.length("raw") + F.col("marks")).alias("rest_unchanged"))
+
+
+QUERIES = {"p10_found": p10_found, "p10_clean": p10_clean, "p10_checks": p10_checks}
+ORACLE: dict[str, str] = {"p10_checks": "select doc_id, case when text is not null then true end as nothing_left, case when text is not null then true end as rest_unchanged from documents"}

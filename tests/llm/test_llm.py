@@ -320,13 +320,24 @@ def test_configurations_are_as_good_as_best_fit(capacity, low, high):
         ("P.O. Box 309, Port Maren. Bulk", "address", "P.O. Box 309, Port Maren"),
     ],
 )
-def test_fixed_forms(text, kind, found):
-    assert [(k, text[a:b]) for a, b, k in personal.fixed_forms(text)] == [(kind, found)]
+def test_proposed_forms(text, kind, found):
+    assert [(k, text[a:b]) for a, b, k, *_ in personal.proposals(text)] == [(kind, found)]
 
 
 def test_what_is_no_personal_information():
     for text in ("Run npx mailer@6.3.5 to update", "handle @Anna_55", "Batch 538 417 7661 failed", "Serial 5856-3646-3525", "Order INV-2096-83316 shipped on 2014-09-13", "Bridge Street Analytics"):
-        assert personal.fixed_forms(text) == []
+        assert personal.proposals(text) == []
+
+
+def test_only_forms_of_protected_places_disclose(spark):
+    signed = "Words go here.\nRegards,\nAda Lindwick\n{}\n"
+    rows = [(i, signed.format(f"(933) 555-01{i:02d}"), 0) for i in range(12)]
+    rows += [(100 + i, f"Ticket 311-555-01{i:02d} is open, and so is order 21.", 0) for i in range(12)]
+    rows += [(200, "Call (718) 555-0158 before noon.", 0), (201, "Mail bo@some.example now.", 0), (202, signed.format("bo@other.example"), 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, stop int")
+    got = {(r["doc_id"], r["kind"], r["found_text"]) for r in personal.personal_spans(df).collect() if r["kind"] != "person"}
+    assert {(200, "phone", "(718) 555-0158"), (201, "email", "bo@some.example")} <= got and len(got) == 15
+    assert not any(100 <= d < 200 for d, _, _ in got)
 
 
 def test_names_are_learned(spark):
