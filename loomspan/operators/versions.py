@@ -101,7 +101,8 @@ class VersionedTable:
         return data.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
     def _dead(self, vectors) -> DataFrame | None:
-        return self.spark.read.schema("_file string, _row long").parquet(*vectors) if vectors else None
+        """Dead positions, never broadcast: they grow with the table, and the size of their files does not show it."""
+        return self.spark.read.schema("_file string, _row long").parquet(*vectors).hint("merge") if vectors else None
 
     def _schema(self, manifest: Manifest):
         from pyspark.sql.types import StructType
