@@ -28,7 +28,7 @@ from loomspan.llm.tokens import token_counts
 from loomspan.operators.positions import ordinals
 from loomspan.session import persisted, table
 
-BLOCK_TOKENS = 64
+BLOCK_TOKENS = 128
 SHARD_SLOTS = 256
 #: Shards whose counts are drawn together.
 CHUNK_SHARDS = 256
@@ -191,6 +191,19 @@ def drawn(spark: SparkSession, made: list[Mix]) -> tuple[list[Mix], DataFrame]:
         made = [Mix(*(m.name, m.sources, m.shares, m.blocks, m.caps, min(m.slots - 1, int(m.slots / over[i])))) if i in over else m for i, m in enumerate(made)]
 
 
+def mix_slots(sizes: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(mix_name, shard, source, slot, epoch, block) of all mixes, and (source, block, doc_id, tokens)."""
+    spark = sizes.sparkSession
+    parts = persisted(blocks(sizes), "blocks")
+    blocks_of = {r["source"]: r["n"] for r in parts.groupBy("source").agg((F.max("block") + 1).alias("n")).collect()}
+    goals = targets.select("mix_name", "source", "target_share", "max_repeats").distinct()
+    made, sums = drawn(spark, mixes([tuple(r) for r in goals.collect()], blocks_of))
+    before = F.sum("n").over(Window.partitionBy("mix", "source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
+    based = sums.withColumn("base", F.coalesce(before, F.lit(0))).filter("n > 0")
+    spread = based.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "mix", "chunk", "source")
+    return spread.mapInArrow(_slots(made), "mix_name string, shard long, source string, slot long, epoch long, block long"), parts
+
+
 def mixed(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """(mix_name, shard, source, slot, epoch, block, doc_id, tokens): the mixes' contents.
 
@@ -200,17 +213,9 @@ def mixed(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     block appears at most max_repeats times in a mix. Columns besides those
     named are ignored.
     """
-    spark = sizes.sparkSession
-    parts = persisted(blocks(sizes), "blocks")
-    blocks_of = {r["source"]: r["n"] for r in parts.groupBy("source").agg((F.max("block") + 1).alias("n")).collect()}
-    goals = targets.select("mix_name", "source", "target_share", "max_repeats").distinct()
-    made, sums = drawn(spark, mixes([tuple(r) for r in goals.collect()], blocks_of))
-    before = F.sum("n").over(Window.partitionBy("mix", "source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
-    based = sums.withColumn("base", F.coalesce(before, F.lit(0))).filter("n > 0")
-    spread = based.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "mix", "chunk", "source")
-    schema = "mix_name string, shard long, source string, slot long, epoch long, block long"
-    slots = spread.mapInArrow(_slots(made), schema)
-    return slots.join(parts, ["source", "block"]).select("mix_name", "shard", "source", "slot", "epoch", "block", "doc_id", "tokens")
+    slots, parts = mix_slots(sizes, targets)
+    joined = slots.join(parts.hint("merge"), ["source", "block"])
+    return joined.select("mix_name", "shard", "source", "slot", "epoch", "block", "doc_id", "tokens")
 
 
 def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,8 +231,11 @@ def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target and reached share per mix and source, and the most times a part was used."""
     targets = table(spark, sf_dir, "mix_targets").distinct()
-    rows = mixed(_sizes(spark, sf_dir), targets)
-    used = rows.groupBy("mix_name", "source", "block", "doc_id").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("times"))
+    slots, parts = mix_slots(_sizes(spark, sf_dir), targets)
+    # Repeats are counted before blocks meet their tokens.
+    times = slots.groupBy("mix_name", "source", "block").agg(F.count("*").alias("times"))
+    held = parts.groupBy("source", "block").agg(F.sum("tokens").alias("tokens"))
+    used = times.join(held.hint("merge"), ["source", "block"]).select("mix_name", "source", "times", (F.col("times") * F.col("tokens")).alias("tokens"))
     per = used.groupBy("mix_name", "source").agg(F.sum("tokens").alias("tokens"), F.max("times").alias("most_repeats"))
     total = per.groupBy("mix_name").agg(F.sum("tokens").alias("total"))
     joined = targets.join(per, ["mix_name", "source"], "left").join(total, "mix_name", "left")
@@ -245,8 +253,7 @@ def p9_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     five standard deviations of its target.
     """
     targets = table(spark, sf_dir, "mix_targets").select("mix_name", "source", "target_share", "max_repeats").distinct()
-    rows = mixed(_sizes(spark, sf_dir), targets)
-    slots = rows.groupBy("mix_name", "source", "slot", "epoch", "block").agg(F.sum("tokens").alias("tokens"))
+    slots, _ = mix_slots(_sizes(spark, sf_dir), targets)
     twice = slots.groupBy("mix_name", "source", "epoch", "block").agg(F.count("*").alias("n"), F.min("slot").alias("lo"), F.max("slot").alias("hi"))
     per = twice.groupBy("mix_name", "source").agg(
         F.sum("n").alias("n"), F.max("n").alias("in_epoch"), (F.max("hi") - F.min("lo") + 1).alias("span"), F.min("lo").alias("lo"), (F.max("epoch") + 1).alias("epochs")

@@ -277,7 +277,7 @@ def packed(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     small_plans = {p: SmallPlan(rooms.get(p, []), h, capacity[p]) for p, h in small_sizes.items()}
     box_start = spark.createDataFrame(list(_offsets(rooms).items()) or [("", 0)], "pack_name string, _first long")
     numbered = boxes.join(F.broadcast(box_start), "pack_name").select("pack_name", "label", (F.col("position") - F.col("_first")).alias("container"))
-    large_out = placed.join(numbered, ["pack_name", "label"]).select("pack_name", "doc_id", "piece", F.col("size").alias("tokens"), "container")
+    large_out = placed.join(numbered.hint("merge"), ["pack_name", "label"]).select("pack_name", "doc_id", "piece", F.col("size").alias("tokens"), "container")
 
     ranks = ranked(small.select("pack_name", "capacity", "doc_id", F.col("piece").cast("int"), "size"), order, "small")
     fitted = ranks.select("pack_name", "capacity", "doc_id", "piece", "size", "position").mapInPandas(_placer(small_plans, _offsets(small_sizes), "label"), schema)
