@@ -16,16 +16,15 @@ SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]+"
 PACIFIC = "America/Los_Angeles"
 
 # Words of names that say nothing about the brand.
-GENERIC_NAME_WORDS = """
-app apps beta cloud flow hub labs platform software studio suite sync tool tools work
-workspace index world weekly analytics reports report code data search console
-ai for with the and your by from online free open source daily monthly platform
-assistant manager management tracker tracking builder maker generator editor
-video image text audio design team teams business personal smart plus pro
-product products marketing sales customer email automation automated digital
-notes note meeting meetings chat content development developer developers
-research intelligence artificial dashboard browser agent agents productivity
-""".split()
+GENERIC_NAME_WORDS = (
+    "app", "apps", "beta", "cloud", "flow", "hub", "labs", "platform", "software", "studio", "suite", "sync", "tool", "tools", "work",
+    "workspace", "index", "world", "weekly", "analytics", "reports", "report", "code", "data", "search", "console", "ai", "for", "with",
+    "the", "and", "your", "by", "from", "online", "free", "open", "source", "daily", "monthly", "platform", "assistant", "manager",
+    "management", "tracker", "tracking", "builder", "maker", "generator", "editor", "video", "image", "text", "audio", "design", "team",
+    "teams", "business", "personal", "smart", "plus", "pro", "product", "products", "marketing", "sales", "customer", "email",
+    "automation", "automated", "digital", "notes", "note", "meeting", "meetings", "chat", "content", "development", "developer",
+    "developers", "research", "intelligence", "artificial", "dashboard", "browser", "agent", "agents", "productivity",
+)
 
 # Query parameters that only track.
 TRACKING_KEYS = ("ref", "referrer", "source", "utm_campaign", "utm_content", "utm_medium", "utm_source", "utm_term")
@@ -70,9 +69,13 @@ def normalized_name(value: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(value), "[^a-z0-9]+", " "))
 
 
+# Fixed value: what separates a brand from what follows it.
+BRAND_END = r"\s*[:|]\s*|\s+[–—]\s+|\s+-\s+"
+
+
 def brand_identity(name: Column) -> Column:
     """The name before a colon, a bar or a spaced dash."""
-    return F.trim(F.split(name, r"\s*[:|]\s*|\s+[–—]\s+|\s+-\s+", 2).getItem(0))
+    return F.trim(F.split(name, BRAND_END, 2).getItem(0))
 
 
 def _generic() -> Column:
@@ -327,3 +330,9 @@ def token_estimate(payload: pd.Series) -> pd.Series:
         return None if text is None else -(-len(json.dumps(json.loads(text), separators=(",", ":"))) // 3)
 
     return payload.map(one).astype("Int64")
+
+
+def finite_number(text: Column) -> Column:
+    """A JSON number that is finite, as a double; null for booleans, strings, NaN and infinities."""
+    number = F.when(F.trim(text).rlike(r"^-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?$"), text.try_cast("double"))
+    return F.when(F.abs(number) < F.lit(float("inf")), number)

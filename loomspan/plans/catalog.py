@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from loomspan.functions import columns as C
 from loomspan.operators import checkpoint as K, drafts as D
+from loomspan.operators.generation import acknowledged
 from loomspan.operators.positions import ordinals
 from loomspan.sources import web as W
 from loomspan.session import table
@@ -207,10 +208,14 @@ def q_overlay_update(spark, d):
     return K.overlay(_items(spark, d), log.groupBy("source_url").agg(last).select("source_url", "m.outcome", "m.model", "m.content_hash"))
 
 
-@query(f"""with x as (select distinct draft_id, name, {_NAME.format('name')} as name_normalized from catalog_drafts where name is not null),
+@query(f"""with n as (select distinct draft_id, name from catalog_drafts union all select distinct -draft_id, upper(name) || '!' from catalog_drafts where draft_id % 20 = 0),
+x as (select draft_id, name, {_NAME.format('name')} as name_normalized from n where name is not null),
 c as (select name_normalized, count(*) as rows from x group by 1 having count(*) > 1) select draft_id, name, name_normalized, rows from x join c using (name_normalized)""")
 def q_name_collision(spark, d):
-    return K.name_collisions(table(spark, d, "catalog_drafts").select("draft_id", "name").distinct(), "draft_id", "name")
+    """Names that clash but for case and signs; one in twenty is planted."""
+    rows = table(spark, d, "catalog_drafts").select("draft_id", "name").distinct()
+    planted = rows.filter("draft_id % 20 = 0").select((-F.col("draft_id")).alias("draft_id"), F.concat(F.upper("name"), F.lit("!")).alias("name"))
+    return K.name_collisions(rows.unionByName(planted), "draft_id", "name")
 
 
 _BLOCKED = f"""blk as (select distinct k as name_key from (
@@ -224,9 +229,12 @@ def q_blocked_names(spark, d):
     return K.blocked_names(_items(spark, d), table(spark, d, "source_products"))
 
 
-@query(f"with {_BLOCKED} select distinct draft_id, name from catalog_drafts where replace({_FOLD.format('name')}, ' ', '') in (select name_key from blk)")
+@query(f"""with {_BLOCKED}, n as (select draft_id, name from catalog_drafts union select -record_id, source_name from source_products)
+select draft_id, name from n where replace({_FOLD.format('name')}, ' ', '') in (select name_key from blk)""")
 def q_blocked_semi(spark, d):
-    rows = table(spark, d, "catalog_drafts").select("draft_id", "name").distinct().withColumn("name_key", C.name_key(F.col("name")))
+    """Names of drafts and, as planted hits, of the products themselves."""
+    rows = table(spark, d, "catalog_drafts").select("draft_id", "name")
+    rows = rows.union(table(spark, d, "source_products").select(-F.col("record_id"), "source_name")).distinct().withColumn("name_key", C.name_key(F.col("name")))
     return rows.join(q_blocked_names(spark, d), "name_key", "left_semi").select("draft_id", "name")
 
 
@@ -291,7 +299,9 @@ _BI = "case when len({0}) >= 2 then list_distinct(list_transform(range(1, len({0
 g as (select draft_id, {_BI.format('a')} as a, {_BI.format('b')} as b from k)
 select draft_id, case when len(a) > 0 and len(b) > 0 then 2 * len(list_intersect(a, b)) / (len(a) + len(b)) else 0.0 end as dice from g""")
 def q_dice_pairs(spark, d):
-    keys = _screened(spark, d).select("draft_id", C.name_key(C.brand_identity(F.col("source_name"))).alias("a"), C.name_key(F.col("name")).alias("b"))
+    drafts = table(spark, d, "catalog_drafts").select("draft_id", "source_url", "name").distinct()
+    product = table(spark, d, "source_products").groupBy("source_url").agg(F.max(F.struct("record_id", "source_name")).getField("source_name").alias("source_name"))
+    keys = drafts.join(product, "source_url").select("draft_id", C.name_key(C.brand_identity(F.col("source_name"))).alias("a"), C.name_key(F.col("name")).alias("b"))
     return keys.select("draft_id", C.dice(C.bigrams(F.col("a")), C.bigrams(F.col("b"))).alias("dice"))
 
 
@@ -325,20 +335,32 @@ def q_audit_flagged(spark, d):
     return _flagged(spark, d).select("draft_id", "name", F.array_join("issues", "; ").alias("issues"))
 
 
-@query(f"""with {_CUR}, f as (select distinct source_url from catalog_drafts where len(name) > 9)
+@query(f"""with {_CUR}, {_BLOCKED}, {_ISSUES}, f as (select distinct source_url from catalog_drafts join iss using (draft_id) where len(issues) > 0 or key in (select name_key from blk))
 select c.source_url, case when f.source_url is not null then 'scraped' else status end as status, case when f.source_url is not null then 0 else attempts end as attempts,
  case when f.source_url is null then draft_name_normalized end as draft_name_normalized, case when f.source_url is null then generation_model end as generation_model,
  case when f.source_url is null then source_content_hash end as source_content_hash, case when f.source_url is null then failed_stage end as failed_stage, published_slug
 from cur c left join f using (source_url)""")
 def q_repair(spark, d):
-    return K.repaired(_items(spark, d), table(spark, d, "catalog_drafts").filter("length(name) > 9").select("source_url"))
+    flagged = table(spark, d, "catalog_drafts").join(_flagged(spark, d).select("draft_id"), "draft_id").select("source_url")
+    return K.repaired(_items(spark, d), flagged)
 
 
-@query(f"""select record_id, sha256(to_json({{'external_page': null, 'source': {{'categories': coalesce(categories, []), 'external_id': external_id, 'source_name': source_name, 'source_url': source_url}}}})::varchar) as hash
-from (select distinct record_id, categories, external_id, source_name, source_url from source_products)""")
+@query(f"""with s as (select distinct record_id, source_url, to_json({{'categories': coalesce(categories, []), 'description': coalesce(description, ''), 'external_id': external_id, 'last_modified': last_modified,
+  'source_name': source_name, 'source_url': source_url, 'tagline': coalesce(tagline, ''), 'website_url': website_url}})::varchar as js from source_products),
+g as (select source_url, max(struct_pack(i := page_id, d := coalesce(description, ''), u := final_url, r := skipped_reason, t := coalesce(title, ''))) as m from external_pages group by 1),
+p as (select source_url, to_json({{'description': m.d, 'final_url': m.u, 'skipped_reason': m.r, 'title': m.t}})::varchar as jp from g)
+select record_id, sha256('{{"external_page":' || coalesce(jp, 'null') || ',"source":' || js || '}}') as hash from s left join p using (source_url)""")
 def q_content_hash(spark, d):
-    rows = table(spark, d, "source_products").select("record_id", F.coalesce("categories", F.array().cast("array<string>")).alias("categories"), "external_id", "source_name", "source_url").distinct()
-    return rows.select("record_id", C.content_hash(F.struct("categories", "external_id", "source_name", "source_url"), F.lit(None).cast("string")).alias("hash"))
+    """The hash of a record with its page; the page's text has its own fingerprint in the table of versions."""
+    blank = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    rows = table(spark, d, "source_products").select(
+        "record_id", "source_url", F.struct(F.coalesce("categories", F.array().cast("array<string>")).alias("categories"), blank("description"), "external_id", "last_modified", "source_name", "source_url", blank("tagline"), "website_url").alias("source")
+    ).distinct()
+    picked = F.max(F.struct("page_id", blank("description"), "final_url", "skipped_reason", blank("title"))).alias("m")
+    pages = table(spark, d, "external_pages").groupBy("source_url").agg(picked)
+    joined = rows.join(pages, "source_url", "left")
+    page = F.when(F.col("m").isNotNull(), F.struct("m.description", "m.final_url", "m.skipped_reason", "m.title"))
+    return joined.select("record_id", C.content_hash(F.col("source"), page).alias("hash"))
 
 
 _STORED = f"""sto as (select source_url, 'ph-' || left(sha256(source_url), 24) as id, published_slug as slug, '{CREATED}' as created_at, draft_name_normalized as name, 'stored' as category
@@ -408,14 +430,11 @@ def q_started_per_run(spark, d):
     return table(spark, d, "run_items").filter("outcome = 'started'").select("run_id", "source_url").distinct().groupBy("run_id").agg(F.count("*").alias("started"))
 
 
-@query("""with s as (select distinct run_id, source_url from run_items where outcome = 'started'), f as (select distinct run_id, source_url from run_items where outcome = 'done'),
-m as (select s.run_id, count(*) as open from s left join f on s.run_id = f.run_id and s.source_url = f.source_url where f.run_id is null group by 1)
-select runs.run_id, coalesce(open, 0) = 0 as acknowledged from runs left join m using (run_id)""")
+@query("""with s as (select distinct run_id, source_url from run_items where outcome = 'started'), f as (select distinct run_id, source_url from run_items where outcome = 'done')
+select coalesce(s.run_id, f.run_id) as run_id, count(*) filter (s.run_id is null or f.run_id is null) = 0 as acknowledged from s full join f on s.run_id = f.run_id and s.source_url = f.source_url group by 1""")
 def q_ack_check(spark, d):
-    log = table(spark, d, "run_items").select("run_id", "source_url", "outcome").distinct()
-    sent, got = (log.filter(f"outcome = '{x}'").select("run_id", "source_url") for x in ("started", "done"))
-    open_ = sent.join(got, ["run_id", "source_url"], "left_anti").groupBy("run_id").agg(F.count("*").alias("open"))
-    return table(spark, d, "runs").select("run_id").join(open_, "run_id", "left").select("run_id", F.col("open").isNull().alias("acknowledged"))
+    log = table(spark, d, "run_items").filter("source_url is not null")
+    return acknowledged(log.filter("outcome = 'started'"), log.filter("outcome = 'done'"), "run_id", "source_url")
 
 
 _ACCEPT = [f for f in D.TEXT_LIMITS] + [f for f in D.LIST_LIMITS]
@@ -435,10 +454,10 @@ def q_acceptance_ladder(spark, d):
 
 
 @query(f"""select intent_key, count(*) as drafts from (select distinct draft_id, intent_key from catalog_drafts) where intent_key in ({', '.join(repr(k) for k in D.INTENTS)})
- and intent_key not in (select distinct intent_key from catalog_drafts where draft_id % 97 = 0 and intent_key is not null) group by 1""")
+ and intent_key not in (select distinct intent_key from catalog_drafts where draft_id % 400 = 0 and intent_key is not null) group by 1""")
 def q_intents_antijoin(spark, d):
     rows = table(spark, d, "catalog_drafts").select("draft_id", "intent_key").distinct()
-    sent = rows.filter("draft_id % 97 = 0 and intent_key is not null").select("intent_key").distinct()
+    sent = rows.filter("draft_id % 400 = 0 and intent_key is not null").select("intent_key").distinct()
     known = D.intents(spark).select(F.col("key").alias("intent_key"))
     return rows.join(F.broadcast(known), "intent_key", "left_semi").join(sent, "intent_key", "left_anti").groupBy("intent_key").agg(F.count("*").alias("drafts"))
 
@@ -460,18 +479,25 @@ def q_payload_bounds(spark, d):
     return rows.groupBy("source_url").agg(F.least(F.lit(60000).cast("long"), 2048 + 1200 * F.count("*")).alias("output_cap"), F.sum(cut("tagline", 500) + cut("description", 2200)).alias("size"))
 
 
-@query()
+_ESCAPED = r"len({0}) + 5 * len(regexp_replace({0}, '[\x00-\x7F]', '', 'g')) + 6 * len(regexp_replace({0}, '[\x00-\x{{FFFF}}]', '', 'g'))"
+
+
+@query(f"""with x as (select record_id, left(tagline, 500) as title, left(description, 2200) as description, categories[1:8] as categories, (row_number() over (order by record_id) - 1) // 10 as batch
+  from (select distinct record_id, tagline, description, categories from source_products)),
+p as (select batch, '[' || string_agg(to_json({{'record_id': record_id, 'title': coalesce(title, ''), 'description': coalesce(description, ''), 'categories': coalesce(categories, [])}})::varchar, ',') || ']' as t from x group by batch)
+select batch, cast(ceil(({_ESCAPED.format('t')}) / 3) as bigint) as tokens from p""")
 def q_payload_tokens(spark, d):
     """Token estimates of request payloads of ten products."""
-    rows = _products(spark, d).select("record_id", F.struct("record_id", F.substring("tagline", 1, 500).alias("title"), F.substring("description", 1, 2200).alias("description"), F.slice("categories", 1, 8).alias("categories")).alias("r"))
+    rows = _products(spark, d).select("record_id", F.struct("record_id", F.coalesce(F.substring("tagline", 1, 500), F.lit("")).alias("title"), F.coalesce(F.substring("description", 1, 2200), F.lit("")).alias("description"), F.coalesce(F.slice("categories", 1, 8), F.array().cast("array<string>")).alias("categories")).alias("r"))
     grouped = K.numbered_groups(rows, ["record_id"], 10).groupBy("batch").agg(F.to_json(F.array_sort(F.collect_list("r"))).alias("payload"))
     return grouped.select("batch", C.token_estimate(F.col("payload")).alias("tokens"))
 
 
-@query()
+@query(r"""with x as (select distinct draft_id, name, '{"items":[{"id":' || draft_id || ',"name":' || to_json(name)::varchar || '},{"id":' || (-draft_id) || ',"name":' || to_json(name)::varchar || '}]}' as t from catalog_drafts where name is not null)
+select draft_id, cast(len(regexp_extract_all(left(t, len(t) * 2 // 3), '"\}')) as integer) as kept from x""")
 def q_salvage(spark, d):
     """Complete drafts of replies cut at two thirds."""
-    rows = _drafts(spark, d).select("draft_id", F.to_json(F.struct(F.array(F.struct(F.col("draft_id").alias("id"), "name"), F.struct((-F.col("draft_id")).alias("id"), "name")).alias("items"))).alias("t"))
+    rows = _drafts(spark, d).filter("name is not null").select("draft_id", F.to_json(F.struct(F.array(F.struct(F.col("draft_id").alias("id"), "name"), F.struct((-F.col("draft_id")).alias("id"), "name")).alias("items"))).alias("t"))
     cut = F.expr("substring(t, 1, length(t) * 2 div 3)")
     return rows.select("draft_id", F.size(D.salvage_items(cut)).alias("kept"))
 
@@ -485,12 +511,15 @@ def q_reply_text(spark, d):
     return rows.select("draft_id", text.alias("text")).filter("text is not null")
 
 
-@query()
+@query(f"""with x as (select distinct final_url as url, coalesce(title, '') as title, text from external_pages where text is not null)
+select url, rtrim(left({_COLLAPSE.format('title')}, 300)) as title, '' as description, rtrim(left({_COLLAPSE.format("title || ' ' || title || ' ' || text")}, 6000)) as text from x""")
 def q_html_signals(spark, d):
     """Page records out of HTML built from the recorded pages."""
+    escaped = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    title = escaped(F.coalesce("title", F.lit("")))
     pages = table(spark, d, "external_pages").filter("text is not null").select(
         F.col("final_url").alias("url"),
-        F.concat(F.lit("<html><head><title>"), F.coalesce("title", F.lit("")), F.lit("</title></head><body><nav>Menu</nav><h1>"), F.coalesce("title", F.lit("")), F.lit("</h1><p>"), F.replace("text", F.lit("\n"), F.lit("</p><p>")), F.lit("</p></body></html>")).alias("html"),
+        F.concat(F.lit("<html><head><title>"), title, F.lit("</title></head><body><nav>Menu</nav><h1>"), title, F.lit("</h1><p>"), F.replace(escaped(F.col("text")), F.lit("\n"), F.lit("</p><p>")), F.lit("</p></body></html>")).alias("html"),
     ).distinct()
     return W.external_pages(pages)
 

@@ -47,6 +47,14 @@ def q_rpm_tpm_window(spark, d):
     return out.select("scope", "model", F.col("at").cast("timestamp_ntz").alias("at"), "tokens", "day", "recent_calls", "recent_tokens", "calls_today", F.col("release_at").cast("timestamp_ntz").alias("release_at"))
 
 
+@query(f"""with {_CALLS} select scope, model, at, tokens, count(*) over w as recent_calls, (sum(tokens) over w)::bigint as recent_tokens
+from calls window w as (partition by scope, model order by epoch_us(at) range between 59999999 preceding and current row)""")
+def q_minute_window(spark, d):
+    """Calls and tokens of the last 60 seconds."""
+    out = Q.call_windows(_calls(spark, d))
+    return out.select("scope", "model", F.col("at").cast("timestamp_ntz").alias("at"), "tokens", "recent_calls", "recent_tokens")
+
+
 @query(f"with {_CALLS} select scope, model, {_DAY.format('at')} as day, count(*) as calls from calls group by all")
 def q_daily_calls(spark, d):
     return _calls(spark, d).groupBy("scope", "model", C.pacific_day(F.col("at")).alias("day")).agg(F.count("*").alias("calls"))

@@ -19,10 +19,8 @@ def admit_stream(requests: DataFrame, rpd: int, rpm: int, tpm: int) -> DataFrame
     """
 
     def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ledger = Admission(rpd, rpm, tpm)
-        if state.exists:
-            ats, tokens = state.get
-            ledger.calls = [(float(a), int(t)) for a, t in zip(ats, tokens)]
+        held = zip(*state.get) if state.exists else ()
+        ledger = Admission(rpd, rpm, tpm, [(float(a), int(t)) for a, t in held])
         rows = pd.concat(list(frames)).sort_values(["us", "tokens"])
         rows["admitted"] = [ledger.claim(us / 1e6, int(n)) for us, n in zip(rows["us"], rows["tokens"])]
         state.update(([a for a, _ in ledger.calls], [n for _, n in ledger.calls]))

@@ -59,6 +59,7 @@ def test_sitemap(spark, tmp_path):
 def test_body_limits():
     body = gzip.compress(b"x" * 2000)
     assert len(web.decode_body(body, "gzip", 2000)) == 2000
+    assert web.decode_body(b"x" * 2000, "identity", 1999) == b"x" * 2000
     for encoding, limit in (("gzip", 1999), ("br", 9999)):
         with pytest.raises(ValueError):
             web.decode_body(body, encoding, limit)
@@ -72,6 +73,13 @@ def test_page_signals(spark):
     assert (r["source_name"], r["tagline"], r["description"], r["website_url"], r["categories"], r["reject"]) == ("Acme Beacon", "Meta", "D", "https://acme.example/start?plan=free", ["A", "B"], None)
 
 
+def test_hidden_depth_and_best_product():
+    facts = web.page_facts('<svg><path/></svg></svg><p>a</p><header><img><b>x</b></header>still hidden</i>shown<script>no</script><meta name="Description" content="m">')
+    assert [f for f in facts if f[0] != "title"] == [("text", "a"), ("text", "shown"), ("description", "m")]
+    objects = web.described_objects(['{"@graph": [{"@type": "Product", "name": "A"}, {"@type": ["Thing", "product"], "offers": {"name": "in"}}]}', "broken", '[{"url": 5, "category": "x, y "}]'])
+    assert [(o["types"], o["name"], o["categories"]) for o in objects] == [([], "", []), (["product"], "A", []), (["thing", "product"], "", []), ([], "in", []), ([], "", ["x", "y"])]
+
+
 def test_robots(spark):
     urls = spark.createDataFrame([("https://a.example/x", "a"), ("https://a.example/no", "a"), ("https://b.example/", "b"), ("https://c.example/", "c")], "url string, origin string")
     rules = spark.createDataFrame([("a", 200, "User-agent: *\nDisallow: /no\nCrawl-delay: 4"), ("b", 404, None), ("c", 500, None)], "origin string, status int, body string")
@@ -107,18 +115,28 @@ def test_edits_may_swap_names_but_not_clash(spark):
         K.applied_edits(edit([("x", "Q")]), public)
 
 
+def plain_admission(requests, rpd, rpm, tpm):
+    """Decides (at, tokens) in order, looking at every earlier admitted request each time."""
+    from datetime import timezone
+    from zoneinfo import ZoneInfo
+
+    day = lambda at: at.replace(tzinfo=timezone.utc).astimezone(ZoneInfo("America/Los_Angeles")).date()
+    taken, out = [], []
+    for at, n in requests:
+        near = [m for t, m in taken if (at - t).total_seconds() < 60]
+        fine = n <= tpm and sum(day(t) == day(at) for t, _ in taken) < rpd and len(near) < rpm and sum(near) + n <= tpm
+        out.append(fine)
+        taken += [(at, n)] if fine else []
+    return out
+
+
 def test_admission_equals_a_plain_loop(spark):
     start = datetime(2026, 3, 7, 23, 0)
     rows = [("s", m, start + timedelta(seconds=17 * i * (1 + (m == "b"))), 100 + 900 * (i % 7)) for i in range(400) for m in "ab"]
-    got = Q.admit(spark.createDataFrame(rows, "scope string, model string, at timestamp, tokens long"), rpd=40, rpm=3, tpm=9000)
-    plain: dict = {}
-    from datetime import timezone
-
-    for s, m, at, n in sorted(rows, key=lambda r: (r[1], r[2])):
-        state = plain.setdefault(m, (Q.Admission(40, 3, 9000), []))
-        state[1].append(state[0].claim(at.replace(tzinfo=timezone.utc).timestamp(), n))
+    got = Q.admit(spark.createDataFrame(rows, "scope string, model string, at timestamp, tokens long"), rpd=40, rpm=3, tpm=4000)
     for m in "ab":
-        assert [r["admitted"] for r in got.filter(F.col("model") == m).orderBy("at").collect()] == plain[m][1]
+        want = plain_admission([(at, n) for _, k, at, n in rows if k == m], 40, 3, 4000)
+        assert [r["admitted"] for r in got.filter(F.col("model") == m).orderBy("at").collect()] == want and len(set(want)) == 2
 
 
 def test_limits_and_release():
@@ -133,12 +151,79 @@ def test_limits_and_release():
     assert pool.ready_at("m", 1e9 + 90_000) == 2e9
 
 
-def test_publish_reserves_and_reconciles():
-    products = [{}] * 5
-    batches, used, estimate = Q.publish_batches(products, 80_000, 2, lambda b: 12 * len(b))
-    assert [b["size"] for b in batches] == [2, 2, 1] and used == 60 and estimate == 22
-    assert Q.publish_batches(products[:1], 80_000, 2, lambda b: 1 / 0) == ([], 100, 100.0)
-    assert Q.publish_batches(products, 99, 2, lambda b: 12) == ([], 0, 100.0)
+def test_publish_reserves_and_reconciles(spark):
+    rows = [("a", i, 12.0) for i in range(5)] + [("b", 0, None), ("b", 1, 12.0)] + [("c", i, 30.0 if i < 2 else 1.0) for i in range(6)]
+    got = Q.publish_ledger(spark.createDataFrame(rows, "day string, pos long, written double"), 80_000, 2).orderBy("day", "pos").collect()
+    of = lambda d: [(r["batch"], r["used"], r["acknowledged"]) for r in got if r["day"] == d]
+    assert of("a") == [(0, 24, True), (0, 24, True), (1, 48, True), (1, 48, True), (2, 60, True)]
+    # The failed batch keeps its reservation and ends the day.
+    assert of("b") == [(0, 200, False), (0, 200, False)]
+    assert [u for _, u, _ in of("c")][-1] == 64
+    assert Q.publish_ledger(spark.createDataFrame(rows, "day string, pos long, written double"), 99, 2).count() == 0
+    budget = Q.WriteBudget(80_000)
+    assert budget.settle(2, 24) and budget.estimate == 22 and budget.settle(2, 2) and budget.estimate == 22
+
+
+def test_a_pool_turns_through_its_keys(spark):
+    at = lambda s: datetime(2026, 1, 5, 12, 0) + timedelta(seconds=s)
+    schema = "pool string, model string, at timestamp, tokens long, failed_key long, status int, until timestamp"
+    rows = [("p", "m", at(i), 10, None, None, None) for i in range(5)]
+    rows += [("p", "m", at(100), None, 0, 503, at(400)), ("p", "m", at(200), 10, None, None, None), ("p", "m", at(401), 10, None, None, None)]
+    got = Q.pool_ledger(spark.createDataFrame(rows, schema), 2, rpm=2).orderBy("at").collect()
+    assert [r["key"] for r in got] == [0, 1, 0, 1, None, None, 0]
+
+
+def test_running_sums_equal_one_window(spark):
+    rows = [("h" if i % 3 else None, i, i % 7) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, o long, v long")
+    got = {(r["g"], r["o"]): r["before"] for r in Q.running_sums(df, "g", "o", "v", chunk_rows=16).collect()}
+    assert got == {(g, o): sum(v for k, p, v in rows if k == g and p < o) for g, o, _ in rows}
+
+
+def test_generation_retries_what_failed(spark):
+    from loomspan.operators import generation as G
+
+    product = dict(
+        name="Balance Trail", category="Finance", audience="small teams of owners", problem="They lose track of what they owe to whom.", promise="One list of what is due.",
+        differentiator="It reads the mails that nobody files.", workflow=["Connect the mailbox", "Read the invoices", "Pay what is due"], keywords=["invoices", "payments", "ledger", "mail"], metrics=["hours saved", "late fees"],
+        intent_key="invoice-operations",
+    )
+    schema = (
+        "id string, try int, pos long, product struct<name: string, category: string, audience: string, problem: string, promise: string, differentiator: string, workflow: array<string>, "
+        "keywords: array<string>, metrics: array<string>, intent_key: string>, extra_fields boolean, issues array<string>"
+    )
+    jobs = spark.createDataFrame([(str(i), i) for i in range(100)], "id string, pos long")
+    named = lambda i: product | {"name": f"Balance Trail {i}"}
+    replies = [(str(i), 1, i, named(i), False, []) for i in range(1, 100) if i != 7] + [("0", 2, 0, named(1), False, []), ("7", 2, 0, named(7), True, []), ("foreign", 1, 0, named(0), False, [])]
+    replies += [("0", 3, 0, named(0), False, []), ("7", 3, 0, None, False, [])]
+    none = spark.createDataFrame([], "name_normalized string")
+    saved, left = G.generate(jobs, spark.createDataFrame(replies, schema), none)
+    rows = {r["id"]: (r["try"], r["batch"]) for r in saved.collect()}
+    assert len(rows) == 99 and rows["1"] == (1, 0) and rows["99"] == (1, 1) and rows["0"] == (3, 3)
+    assert [tuple(r) for r in left.collect()] == [("7", "missing or invalid product object")]
+    assert G.generate(jobs.limit(0), spark.createDataFrame([], schema), none)[0].count() == 0
+
+
+def test_models_answer_in_turn_and_lists_pair_up(spark):
+    from loomspan.operators import generation as G
+
+    rows = [("r", "full", 1, 429), ("r", "ready", 2, 200), ("r", "spare", 3, 200), ("n", "full", 1, 503), ("n", "ready", 2, None)]
+    got = {r["request"]: (r["model"], r["failures"]) for r in G.answered(spark.createDataFrame(rows, "request string, model string, pref int, status int")).collect()}
+    assert got == {"r": ("ready", 1), "n": (None, 2)}
+    sent, back = spark.createDataFrame([("a", ["x", "y"]), ("b", ["x"])], "request string, sent array<string>"), spark.createDataFrame([("a", ["1", "2"]), ("b", [])], "request string, got array<string>")
+    assert {tuple(r) for r in G.zipped(sent, back).collect()} == {("a", 0, "x", "1"), ("a", 1, "y", "2"), ("b", None, None, None)}
+    keys = lambda rows: spark.createDataFrame(rows, "g int, k string")
+    got = {r["g"]: r["acknowledged"] for r in G.acknowledged(keys([(1, "a"), (2, "a"), (3, "a")]), keys([(1, "a"), (2, "a"), (2, "b")]), "g", "k").collect()}
+    assert got == {1: True, 2: False, 3: False}
+
+
+def test_cycles_publish_before_they_generate_and_stop(spark):
+    from loomspan.operators import generation as G
+
+    schema = "source_url string, status string, source_content_hash string, external_checked boolean, draft_name_normalized string, attempts int, ordinal int"
+    rows = [("saved", "transformed", "h", True, "n", 0, 0), ("new", "queued", None, False, None, 0, 1), ("ready", "scraped", "h", True, None, 0, 2), ("stuck", "scraped", "h", True, None, 0, 3), ("later", "scraped", "h", True, None, 0, 4)]
+    got = G.cycles(spark.createDataFrame(rows, schema), spark.createDataFrame([("ready",), ("later",)], "source_url string"), 2)
+    assert {tuple(r) for r in got.collect()} == {(0, 1, "new"), (0, 2, "saved"), (1, 3, "ready"), (1, 3, "stuck"), (1, 4, "ready")}
 
 
 def test_screening(spark):

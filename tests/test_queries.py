@@ -3,11 +3,11 @@
 import duckdb
 import pytest
 
-from loomspan.plans import catalog, incremental, quotas
+from loomspan.plans import catalog, incremental, quotas, replay
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "source_products external_pages catalog_drafts sitemap_entries work_items run_items runs events".split()
-CASES = [(m, q) for m in (incremental, catalog, quotas) for q in m.ORACLE]
+CASES = [(m, q) for m in (incremental, catalog, quotas, replay) for q in m.ORACLE]
 
 
 @pytest.fixture(scope="session")
@@ -28,7 +28,11 @@ def test_matches_sql(spark, duck, module, name):
     assert mine == sorted(repr([row[i] for i in order]) for row in result.fetchall())
 
 
-@pytest.mark.parametrize("name", [q for m in (catalog, quotas) for q in m.QUERIES if q not in m.ORACLE])
-def test_runs(spark, name):
-    module = catalog if name in catalog.QUERIES else quotas
-    assert module.QUERIES[name](spark, DATA).count() >= 0
+def test_every_row_is_decided(spark):
+    """Sequential ledgers have no SQL; their decisions are tested against plain loops, here only that none is lost."""
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    batch, stream = quotas.QUERIES["q_admission"](spark, DATA), quotas.QUERIES["s_quota_stream"](spark, DATA)
+    assert batch.count() == events.count() == stream.count()
+    assert batch.filter("admitted").count() > 0 and stream.filter("admitted").count() > 0
+    pool = replay.QUERIES["q_pool"](spark, DATA)
+    assert pool.count() == events.filter("event_id % 20 <> 0").count() and {r["key"] for r in pool.select("key").distinct().collect()} >= {0, 1, 2}
