@@ -69,18 +69,22 @@ _DIGIT = re.compile(r"\d")
 _NUMBER = re.compile(r"\S*\d\S*")
 
 
-def mask(text: str) -> str:
-    """Lower-case words with addresses, numbers, dates and ids replaced."""
+def plain(text: str) -> str:
+    """Lower-case words with addresses replaced."""
     text = text.lower()
     if "@" in text or "://" in text:
         text = _ADDRESS.sub(" 0 ", text)
-    text = _NO_WORD.sub(" ", text).strip()
-    return _NUMBER.sub("0", text) if _DIGIT.search(text) else text
+    return _NO_WORD.sub(" ", text).strip()
 
 
-def phrase_pattern(text: str) -> re.Pattern | None:
-    """The rules that can match in a text, by a search for their literals; None if there are none."""
-    hits = {n for _, numbers in _ANCHORS.iter(f" {_NO_WORD.sub(' ', text.lower())} ") for n in numbers}
+def mask(words: str) -> str:
+    """Plain words with numbers, dates and ids replaced."""
+    return _NUMBER.sub("0", words) if _DIGIT.search(words) else words
+
+
+def phrase_pattern(words: str) -> re.Pattern | None:
+    """The rules that can match in a text of these plain words, by a search for their literals; None if there are none."""
+    hits = {n for _, numbers in _ANCHORS.iter(f" {words} ") for n in numbers}
     if not hits:
         return None
     key = tuple(sorted(hits))
@@ -92,22 +96,24 @@ def phrase_pattern(text: str) -> re.Pattern | None:
     return found
 
 
-def sentences(line: str) -> list[str]:
-    """The sentences and parts of a line, those with a phrase taken apart into phrases and what is between."""
+def sentences(line: str) -> list[tuple[str, str]]:
+    """(masked words, text) of the sentences of a line, those with a phrase taken apart into phrases and what is between."""
     out = []
     for part in _PARTS.findall(line):
-        pattern = phrase_pattern(part)
+        words = plain(part)
+        pattern = phrase_pattern(words)
         if pattern is None:
-            out.append(part)
+            if words:
+                out.append((mask(words), part))
             continue
         found = list(pattern.finditer(part))
         at, between = 0, []
         for m in found:
             between.append(part[at : m.start()])
-            out.append(m.group())
+            out.append((mask(plain(m.group())), m.group()))
             at = m.end()
         # A single word beside a phrase belongs to it.
-        out += [x for x in [*between, part[at:]] if word_count(x) > bool(found)]
+        out += [(mask(plain(x)), x) for x in [*between, part[at:]] if word_count(x) > bool(found)]
     return out
 
 
@@ -117,7 +123,7 @@ def word_count(text: str) -> int:
 
 def residue_line(line: str) -> bool:
     """A line made of messages alone, but for a word."""
-    pattern = phrase_pattern(line)
+    pattern = phrase_pattern(plain(line))
     if pattern is None:
         return False
     rest, n = pattern.subn(" ", line)
