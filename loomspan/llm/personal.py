@@ -56,6 +56,8 @@ _LABEL = (
     r"|id (?:card|no\.?|number)|personalausweis|national insurance(?: no\.?| number)?|licen[cs]e(?: no\.?| number)?|führerschein|permiso|permis)"
 )
 _LABELLED = re.compile(rf"{_LABEL}(?: (?:no\.?|number|nr\.?|num\.?))?[:# ]{{1,3}}(?:is )?\Z", re.IGNORECASE)
+#: Without any of these in its lower case a text holds no label.
+_LABEL_PARTS = ("pass", "pasaporte", "steuer", "tax ", "tin", " nif", "nino", "ssn", "dni", " nie", "identity", "id card", "id no", "id number", "ausweis", "insurance", "licen", "führerschein", "permis")
 _ID_VALUE = re.compile(r"(?<![A-Z0-9-])(?=(?:[A-Z]{1,3} ?)?\d)(?=[A-Z0-9 -]*\d{2})(?:[A-Z]{1,3} ?)?\d[A-Z0-9]*(?:[ -][A-Z0-9]*\d[A-Z0-9]*){0,4}(?: [A-Z])?(?![\w-])")
 _CAP = r"[A-ZÀ-Þ][\wÀ-ÿ’'-]*"
 _PART = r"[A-ZÀ-Þ][^\W\d_]*(?:[’'-][^\W\d_]+)*"
@@ -83,7 +85,8 @@ _CLOSING = r"(?:(?:kind |best |warm )?regards|best|cheers|thanks|sincerely|yours
 _TITLE = r"(?:Dr|Mr|Mrs|Ms|Prof|Herr|Frau|Mme|Mlle|Sra?|Dra?|Don|Doña)\.?"
 _NAME = r"[^\W\d_]+(?:[’'-][^\W\d_]+)*"
 _TITLE_SLOT = re.compile(rf"(?<!\w){_TITLE} ({_NAME})(?: [A-ZÀ-Þ]\.)? ({_NAME})")
-_SIGN_SLOT = re.compile(rf"(?:^|\n){_CLOSING},?\n({_NAME})(,?)(?: [A-ZÀ-Þ]\.)? ({_NAME})[ \t]*(?:\n|$)", re.IGNORECASE)
+_SIGNED = re.compile(rf"({_NAME})(,?)(?: [A-ZÀ-Þ]\.)? ({_NAME})[ \t]*(?:\n|$)", re.IGNORECASE)
+_TITLES = ("Dr", "Mr", "Ms", "Prof", "Herr", "Frau", "Mme", "Mlle", "Sr", "Don", "Doña")
 _TOKEN = re.compile(_NAME)
 _UPPER = r"[A-ZÀ-Þ][^\W\d_]*(?:[’'-][^\W\d_]+)*"
 _LOWER = r"[a-zß-ÿ][^\W\d_]+(?:[’'-][^\W\d_]+)*"
@@ -111,27 +114,34 @@ def shape_class(text: str) -> str:
     return first + "".join(sorted(set(re.sub(r"\w", "", text[1:]))))
 
 
-def proposals(text: str) -> list[tuple[int, int, str, str, str, bool]]:
+def closings(text: str) -> list[int]:
+    """Where the lines under closing formulas begin."""
+    return [m.end() for m in _BLOCK.finditer(text)] if "\n" in text else []
+
+
+def proposals(text: str, lowered: str | None = None, signed: list[int] | None = None) -> list[tuple[int, int, str, str, str, bool]]:
     """(start, end, kind, term, class of the term, in a protected place) of everything but persons.
 
     No two overlap; mail addresses come first, then addresses, identity numbers
-    and phone numbers.
+    and phone numbers. `lowered` and `signed` are the text in lower case and its
+    closings, if known.
     """
+    lowered = text.lower() if lowered is None else lowered
+    signed = closings(text) if signed is None else signed
     out: list[tuple[int, int, str, str, str, bool]] = []
     digits = _DIGIT.search(text) is not None
     mails = []
     if "@" in text:
         mails += EMAIL.finditer(text)
-    lowered = text.lower()
     if "dot" in lowered or "at)" in lowered or "at]" in lowered or "at}" in lowered:
         mails += DISGUISED.finditer(text)
     if not digits and not mails:
         return out
     blocks = []
-    for m in _BLOCK.finditer(text):
-        end = text.find("\n\n", m.end())
-        lines = text[m.end() : end if end >= 0 else len(text)].split("\n")[:BLOCK_LINES]
-        blocks.append((m.end(), m.end() + sum(map(len, lines)) + len(lines)))
+    for begin in signed:
+        end = text.find("\n\n", begin)
+        lines = text[begin : end if end >= 0 else len(text)].split("\n")[:BLOCK_LINES]
+        blocks.append((begin, begin + sum(map(len, lines)) + len(lines)))
 
     def take(m, group: int, kind: str, term: str, of: str, certain: bool = False) -> None:
         s, e = m.span(group)
@@ -146,7 +156,7 @@ def proposals(text: str) -> list[tuple[int, int, str, str, str, bool]]:
         for m in ADDRESS.finditer(text):
             form = m.lastgroup or "po"
             take(m, 0, "address", f"{form}:{(m[form] or '').lower()}", form[:2])
-        for m in _ID_VALUE.finditer(text):
+        for m in _ID_VALUE.finditer(text) if any(part in lowered for part in _LABEL_PARTS) else ():
             if _LABELLED.search(text, max(0, m.start() - 48), m.start()):
                 take(m, 0, "id_number", shape(m.group()), shape_class(m.group()), True)
         for m in ID_NUMBER.finditer(text):
@@ -157,16 +167,18 @@ def proposals(text: str) -> list[tuple[int, int, str, str, str, bool]]:
     return sorted(out)
 
 
-def slots(text: str) -> Iterator[tuple[str, str]]:
+def slots(text: str, signed: list[int]) -> Iterator[tuple[str, str]]:
     """(role, term) of the words in protected places."""
-    for m in _TITLE_SLOT.finditer(text):
+    for m in _TITLE_SLOT.finditer(text) if any(t in text for t in _TITLES) else ():
         if m[1][0].isupper() and m[2][0].isupper():
             yield "given", m[1].lower()
             yield from (("family", part.lower()) for part in m[2].split("-"))
-    for m in _SIGN_SLOT.finditer(text):
-        given, family = (m[3], m[1]) if m[2] else (m[1], m[3])
-        yield "given", given.lower()
-        yield from (("family", part.lower()) for part in family.split("-"))
+    for begin in signed:
+        m = _SIGNED.match(text, begin)
+        if m:
+            given, family = (m[3], m[1]) if m[2] else (m[1], m[3])
+            yield "given", given.lower()
+            yield from (("family", part.lower()) for part in family.split("-"))
 
 
 def name_spans(text: str, taken: list[tuple]) -> Iterator[tuple[int, int, str | None, str, str]]:
@@ -214,18 +226,21 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
             if not text:
                 continue
-            seen.update(_TOKEN.findall(text.lower()))
-            for role, term in slots(text):
+            lowered, signed = text.lower(), closings(text)
+            seen.update(lowered.split())
+            for role, term in slots(text, signed):
                 held[role][term] += 1
-            taken = proposals(text)
+            taken = proposals(text, lowered, signed)
             for s, e, kind, term, of, certain in taken:
                 rows.append(("form", doc_id, s, e, kind, text[s:e], None, None, of, term, int(certain), None, None))
             for s, e, given, family, form in name_spans(text, taken):
                 rows.append(("name", doc_id, s, e, "person", text[s:e], given, family, form, None, None, None, None))
         parts: Counter = Counter()
-        for word, n in seen.items():
-            for part in word.split("-"):
-                parts[part] += n
+        # Words are taken out of their signs once per distinct form.
+        for form, n in seen.items():
+            for word in _TOKEN.findall(form):
+                for part in word.split("-"):
+                    parts[part] += n
         rows += [("term", None, None, None, None, None, None, None, None, t, n, held["given"][t], held["family"][t]) for t, n in parts.items()]
         if rows:
             cols = list(zip(*rows))
