@@ -30,6 +30,7 @@ PAIRS = (
     ("utf8_as_cp1251", "utf-8", "cp1251"),
     ("utf8_as_cp437", "utf-8", "cp437"),
     ("utf8_as_cp850", "utf-8", "cp850"),
+    ("utf8_as_latin2", "utf-8", "iso8859_2"),
     ("cp1252_as_cp1251", "cp1252", "cp1251"),
     ("cp1251_as_cp1252", "cp1251", "cp1252"),
 )
@@ -38,7 +39,6 @@ SWITCH, SWITCH_PAGE = math.log(0.2), math.log(1e-5)
 UNSEEN = math.log(1e-12)
 MIXED_SCRIPT = math.log(1e-6)
 LOST = "�"
-MAX_PASSES = 3
 
 
 def _byte_of(encoding: str) -> dict[str, int]:
@@ -239,10 +239,11 @@ class Model:
             plain = html.unescape(text)
             if self.suspicious(plain) and self.labels(plain):
                 text, found = plain, ["escaped"]
-        for turn in range(MAX_PASSES):
-            if not self.suspicious(text):
-                break
-            spans = self.labels(text, turn == 0)
+        first = True
+        # Ends of itself: every pass after the first turns groups of characters into one.
+        while self.suspicious(text):
+            spans = self.labels(text, first)
+            first = False
             if not spans:
                 break
             parts, at = [], 0

@@ -3,14 +3,17 @@
 Records are made unique, terms are counted inside each Arrow batch, and the
 partial counts are written to the shared folder, partitioned by the top bits
 of the term's hash. A partition above the row limit is split again by the next
-bits, as often as needed; each final partition is aggregated in one task by
-DuckDB, which spills to disk when its memory limit is reached. A hot term costs
-one partial row per batch, however many records hold it.
+bits, as often as needed; DuckDB aggregates each final partition on its own, one
+after the other where a task has several, and spills to the shared folder when
+its memory limit is reached. Where that folder is no mounted file system nothing
+spills: the row limit keeps a partition's groups below the memory limit. A hot
+term costs one partial row per batch, however many records hold it.
 """
 
 from __future__ import annotations
 
-import os
+import itertools
+import shutil
 import uuid
 from collections.abc import Iterator
 
@@ -24,7 +27,7 @@ from loomspan.llm.words import words
 from loomspan.operators.versions import latest_rows
 from loomspan.session import persisted, shared_dir, table
 
-BITS = 5
+BITS = 6
 MAX_BITS = 30
 LEAF_ROWS = 2_000_000
 DUCKDB_MEMORY = "256MB"
@@ -71,25 +74,34 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             )
 
 
+def _by_leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch]]:
+    """The stretches of each leaf in batches sorted by leaf."""
+    for batch in batches:
+        if batch.num_rows:
+            runs = pc.run_end_encode(batch["leaf"])
+            start = 0
+            for end, leaf in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
+                yield leaf, batch.slice(start, end - start)
+                start = end
+
+
 def _aggregator(spill: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb
 
         schema = pa.schema([("field", pa.string()), ("term", pa.string()), ("occurrences", pa.int64()), ("records", pa.int64())])
-        options = {"memory_limit": DUCKDB_MEMORY, "threads": "1", "preserve_insertion_order": "false"}
-        if spill:
-            folder = f"{spill}/{uuid.uuid4().hex}"
-            os.makedirs(folder, exist_ok=True)
-            options["temp_directory"] = folder
-        with duckdb.connect(config=options) as db:
-            partials = pa.RecordBatchReader.from_batches(schema, (b.select(schema.names).cast(schema) for b in batches))
-            db.register("partials", partials)
-            result = db.sql(
-                "select field, term, sum(occurrences)::bigint as occurrences, sum(records)::bigint as records from partials group by all"
-            )
-            yield from result.to_arrow_reader(8192)
-        if spill:
-            os.rmdir(folder) if not os.listdir(folder) else None
+        for _, pieces in itertools.groupby(_by_leaf(batches), key=lambda x: x[0]):
+            folder = f"{spill}/{uuid.uuid4().hex}" if spill else ""
+            options = {"memory_limit": DUCKDB_MEMORY, "threads": "1", "preserve_insertion_order": "false", "temp_directory": folder}
+            with duckdb.connect(config=options) as db:
+                partials = pa.RecordBatchReader.from_batches(schema, (b.select(schema.names).cast(schema) for _, b in pieces))
+                db.register("partials", partials)
+                result = db.sql(
+                    "select field, term, sum(occurrences)::bigint as occurrences, sum(records)::bigint as records from partials group by all"
+                )
+                yield from result.to_arrow_reader(8192)
+            if folder:
+                shutil.rmtree(folder, ignore_errors=True)
 
     return run
 
@@ -113,9 +125,10 @@ def radix_partitions(partials: DataFrame, leaf_rows: int = LEAF_ROWS) -> DataFra
     pending, used, done = partials, 0, []
     while True:
         used += BITS
-        digit = F.shiftright("radix", MAX_BITS - used).alias("digit")
-        spread = pending.withColumn("digit", digit)
-        written = persisted(spread.repartition(F.col("digit")), "radix", ["digit"])
+        spread = pending.withColumn("digit", F.shiftright("radix", MAX_BITS - used))
+        # A digit's rows are written by as many tasks as the next bits make, so all cores take part.
+        finer = F.shiftright("radix", max(0, MAX_BITS - used - BITS))
+        written = persisted(spread.repartition(F.col("digit"), finer), "radix", ["digit"])
         sizes = {r["digit"]: r["count"] for r in written.groupBy("digit").count().collect()}
         large = [d for d, n in sizes.items() if n > leaf_rows] if used < MAX_BITS else []
         leaf = F.concat_ws("/", F.lit(str(used)), F.col("digit").cast("string"))
@@ -149,7 +162,7 @@ def term_counts(records: DataFrame, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """
     partials = records.select("field", "elements").mapInArrow(_partial_counts, _PARTIAL)
     leaves = radix_partitions(partials, leaf_rows)
-    spread = leaves.repartition("leaf").select("field", "term", "occurrences", "records")
+    spread = leaves.repartition("leaf").sortWithinPartitions("leaf").select("leaf", "field", "term", "occurrences", "records")
     return spread.mapInArrow(_aggregator(_spill_folder(records.sparkSession)), "field string, term string, occurrences long, records long")
 
 

@@ -81,7 +81,7 @@ def _model():
     return encoding.Model({c: np.log(n / total) for c, n in counts.items()})
 
 
-@pytest.mark.parametrize("read", ["cp1252", "mac_roman", "cp1251", "cp437", "cp850"])
+@pytest.mark.parametrize("read", ["cp1252", "mac_roman", "cp1251", "cp437", "cp850", "iso8859_2"])
 def test_garbled_text_comes_back(read):
     model = _model()
     for text in SENTENCES:
@@ -98,6 +98,10 @@ def test_other_damage():
     model = _model()
     twice = "é à".encode().decode("cp1252").encode().decode("cp1252")
     assert model.repair(twice)[0] == "é à"
+    often = "Büro – été"
+    for _ in range(5):
+        often = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in often.encode())
+    assert model.repair(often)[0] == "Büro – été"
     assert model.repair("".join(f"&#{ord(c)};" if c > "\x7f" else c for c in "relevés".encode().decode("cp1252")))[0] == "relevés"
     assert model.repair("les rйgies vйrifient")[0] == "les régies vérifient"
     assert model.repair("caf� bar")[1] == ["lost"]
