@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from loomspan.functions import columns as C
 
@@ -73,6 +73,34 @@ def enqueue(items: DataFrame, entries: DataFrame) -> DataFrame:
     )
 
 
+def enqueue_clashes(items: DataFrame, entries: DataFrame) -> DataFrame:
+    """(external_id, urls): identities that an enqueue would give to more than one URL; any refuses the whole batch."""
+    known = items.select("source_url", F.coalesce("external_id", C.url_tail(F.col("source_url"))).alias("external_id"))
+    new = entries.select(F.col("url").alias("source_url"), C.url_tail(F.col("url")).alias("external_id")).join(items.select("source_url"), "source_url", "left_anti")
+    both = known.unionByName(new).distinct()
+    return both.groupBy("external_id").agg(F.count("*").alias("urls")).filter("urls > 1")
+
+
+def mark(items: DataFrame, updates: DataFrame, stage: str) -> DataFrame:
+    """Items with a finished stage written in: `scraped`, `external`, `transformed` or `published`.
+
+    Columns of `updates`: source_url, and for `transformed` name, model and hash,
+    for `published` slug. A finished stage clears the failure; only `scraped`
+    brings a queued or failed item on, later stages set their own status.
+    """
+    u = updates.dropDuplicates(["source_url"]).select(*[F.col(c).alias(c if c == "source_url" else "_" + c) for c in updates.columns], F.lit(True).alias("_hit"))
+    hit = F.col("_hit").isNotNull()
+    sets = {
+        "scraped": {"status": F.lit("scraped")}, "external": {"external_checked": F.lit(True)},
+        "transformed": {"status": F.lit("transformed"), "draft_name_normalized": lambda: C.normalized_name(F.col("_name")), "generation_model": lambda: F.col("_model"), "source_content_hash": lambda: F.col("_hash")},
+        "published": {"status": F.lit("published"), "published_slug": lambda: F.col("_slug")},
+    }[stage]
+    if stage != "external":
+        sets = sets | {"failed_stage": F.lit(None), "error": F.lit(None)}
+    joined = items.join(u, "source_url", "left")
+    return joined.select(*[F.when(hit, sets[c]() if callable(sets[c]) and not hasattr(sets[c], "alias") else sets[c]).otherwise(F.col(c)).alias(c) if c in sets else F.col(c) for c in items.columns])
+
+
 def overlay(items: DataFrame, updates: DataFrame) -> DataFrame:
     """Apply one update per item (source_url, outcome, model, hash, error): done, failed or nothing."""
     u = updates.select("source_url", F.col("outcome").alias("_o"), F.col("model").alias("_m"), F.col("content_hash").alias("_h"))
@@ -168,6 +196,22 @@ def applied_edits(edits: DataFrame, public: DataFrame) -> DataFrame:
     return public.join(new, "slug", "left").withColumn("name", F.coalesce("_new", "name")).drop("_new")
 
 
+def edited_items(items: DataFrame, edits: DataFrame, public: DataFrame) -> DataFrame:
+    """Items with accepted edits (slug, name) as their drafts, to be published again; all or nothing.
+
+    A snapshot is written as a whole, so names may be swapped without an
+    intermediate clash.
+    """
+    final = applied_edits(edits, public)
+    changed = edits.select("slug").join(final, "slug").select(F.col("slug").alias("published_slug"), F.col("name").alias("_new"))
+    return items.join(changed, "published_slug", "left").select(
+        *[
+            F.when(F.col("_new").isNotNull(), {"status": F.lit("transformed"), "draft_name_normalized": C.normalized_name(F.col("_new"))}[c]).otherwise(F.col(c)).alias(c) if c in ("status", "draft_name_normalized") else F.col(c)
+            for c in items.columns
+        ]
+    )
+
+
 def reconcile(replies: DataFrame, jobs: DataFrame) -> DataFrame:
     """(id, verdict): exactly once, missing, duplicate or unknown."""
     counted = replies.groupBy("id").agg(F.count("*").alias("n"))
@@ -182,9 +226,3 @@ def numbered_groups(rows: DataFrame, order: list[str], size: int) -> DataFrame:
 
     numbered = ordinals(rows, order)
     return numbered.withColumn("batch", F.floor(F.col("ordinal") / size))
-
-
-def accepted_first(rows: DataFrame, name: str, order: str) -> DataFrame:
-    """The first row of each name in order."""
-    rank = F.row_number().over(Window.partitionBy(name).orderBy(order))
-    return rows.withColumn("_n", rank).filter("_n = 1").drop("_n")

@@ -194,6 +194,33 @@ def q_enqueue_upsert(spark, d):
     return K.enqueue(_items(spark, d), entries)
 
 
+@query(f"""with {_CUR}, e as (select distinct url from ({_ENTRIES})), n as (select c.external_id, c.source_url from cur c union select regexp_extract(url, '([^/]*)/*$', 1), url from e where url not in (select source_url from cur))
+select external_id, count(*) as urls from n group by 1 having count(*) > 1""")
+def q_enqueue_clashes(spark, d):
+    entries = q_dedupe_last_value(spark, d)
+    return K.enqueue_clashes(_items(spark, d), entries)
+
+
+@query(f"""with {_CUR}, x as (select source_url, max(name) as name, max(generation_model) as model from catalog_drafts group by 1)
+select c.source_url, case when x.source_url is null then status else 'transformed' end as status, case when x.source_url is null then draft_name_normalized else {_NAME.format('x.name')} end as draft_name_normalized,
+ case when x.source_url is null then c.generation_model else x.model end as generation_model, case when x.source_url is null then failed_stage end as failed_stage from cur c left join x using (source_url)""")
+def q_mark_transformed(spark, d):
+    new = table(spark, d, "catalog_drafts").groupBy("source_url").agg(F.max("name").alias("name"), F.max("generation_model").alias("model")).withColumn("hash", F.lit("h"))
+    return K.mark(_items(spark, d), new, "transformed").select("source_url", "status", "draft_name_normalized", "generation_model", "failed_stage")
+
+
+@query(f"""with {_CUR}, p as (select distinct source_url from source_products), e as (select distinct source_url from external_pages), d as (select source_url, 'p-' || max(draft_id) as slug from catalog_drafts group by 1)
+select c.source_url, case when d.slug is not null then 'published' when p.source_url is not null then 'scraped' else status end as status, external_checked or e.source_url is not null as external_checked,
+ coalesce(d.slug, published_slug) as published_slug, case when d.slug is null and p.source_url is null then error end as error
+from cur c left join p using (source_url) left join e using (source_url) left join d using (source_url)""")
+def q_mark_stages(spark, d):
+    """Scraped, then checked, then published, each over what the stage has finished."""
+    urls = lambda name: table(spark, d, name).select("source_url").distinct()
+    slugs = table(spark, d, "catalog_drafts").groupBy("source_url").agg(F.concat(F.lit("p-"), F.max("draft_id").cast("string")).alias("slug"))
+    out = K.mark(K.mark(_items(spark, d), urls("source_products"), "scraped"), urls("external_pages"), "external")
+    return K.mark(out, slugs, "published").select("source_url", "status", "external_checked", "published_slug", "error")
+
+
 _LATEST = """upd as (select source_url, outcome, model, content_hash from (select *, row_number() over (partition by source_url order by logged_at desc, entry_id desc) as n
   from (select distinct * from run_items where source_url is not null)) where n = 1)"""
 
@@ -462,6 +489,49 @@ def q_intents_antijoin(spark, d):
     return rows.join(F.broadcast(known), "intent_key", "left_semi").join(sent, "intent_key", "left_anti").groupBy("intent_key").agg(F.count("*").alias("drafts"))
 
 
+@query(f"select count(*) as entries, count(distinct url) as urls, (select count(*) from sitemap_entries) as listed from ({_ENTRIES})")
+def q_sitemap_total(spark, d):
+    listed = table(spark, d, "sitemap_entries").agg(F.count("*").alias("listed"))
+    return q_sitemap_entries(spark, d).agg(F.count("*").alias("entries"), F.countDistinct("url").alias("urls")).crossJoin(F.broadcast(listed))  # one row each
+
+
+@query("""with j as (select distinct run_id || '|' || source_url as id from run_items where outcome = 'started'),
+r as (select run_id || '|' || source_url as id, count(*) as n from run_items where outcome in ('done', 'failed') group by 1),
+v as (select case when j.id is null then 'unknown' when r.id is null then 'missing' when n > 1 then 'duplicate' else 'once' end as verdict from j full join r on j.id = r.id)
+select verdict, count(*) as n from v group by 1""")
+def q_anomalies(spark, d):
+    """How often each sort of reply occurs."""
+    return q_reconcile_items(spark, d).groupBy("verdict").agg(F.count("*").alias("n"))
+
+
+@query(f"""with p as (select distinct record_id, source_url, external_id, source_name, tagline, description, website_url, categories from source_products),
+e as (select source_url, max(struct_pack(i := page_id, u := final_url, r := skipped_reason, t := coalesce(title, ''), d := coalesce(description, ''))) as m from external_pages group by 1)
+select record_id, external_id, source_name, left(tagline, 800) as tagline, rtrim(left(description, 4000)) as description, categories[1:12] as categories,
+ case when m.r is null then coalesce(m.u, website_url) else website_url end as website, case when m.r is null then left(m.t, 300) end as page_title, case when m.r is null then left(m.d, 1500) end as page_description
+from p left join e using (source_url)""")
+def q_import_records(spark, d):
+    """Records as the single-item payload and the import take them: whole fields within their limits, the page's part unless it was skipped."""
+    rows = table(spark, d, "source_products").select("record_id", "source_url", "external_id", "source_name", "tagline", "description", "website_url", "categories").distinct()
+    page = table(spark, d, "external_pages").groupBy("source_url").agg(
+        F.max(F.struct("page_id", "final_url", "skipped_reason", F.coalesce("title", F.lit("")).alias("t"), F.coalesce("description", F.lit("")).alias("d"))).alias("m")
+    )
+    used = F.col("m.skipped_reason").isNull()
+    cut = lambda c, n: F.substring(c, 1, n)
+    return rows.join(page, "source_url", "left").select(
+        "record_id", "external_id", "source_name", cut("tagline", 800).alias("tagline"), F.rtrim(cut("description", 4000)).alias("description"), F.slice("categories", 1, 12).alias("categories"),
+        F.when(used, F.coalesce("m.final_url", "website_url")).otherwise(F.col("website_url")).alias("website"), F.when(used, cut("m.t", 300)).alias("page_title"), F.when(used, cut("m.d", 1500)).alias("page_description"),
+    )
+
+
+@query("""with x as (select distinct record_id, tagline, description from source_products)
+select record_id, pos, part from (select record_id, unnest([1, 2]) as pos, unnest([tagline, description]) as part from x) where part is not null and part <> ''""")
+def q_source_parts(spark, d):
+    """The non-empty texts of each record, one row each."""
+    rows = table(spark, d, "source_products").select("record_id", "tagline", "description").distinct()
+    parts = rows.select("record_id", F.posexplode(F.array("tagline", "description")).alias("pos", "part"))
+    return parts.filter("part is not null and part <> ''").select("record_id", (F.col("pos") + 1).alias("pos"), "part")
+
+
 @query(f"""with {_CUR} select count(*) as selected, count(*) filter (status = 'published') as published, count(*) filter (status = 'failed') as failed,
  count(*) filter (external_checked) as external_checked, count(*) filter (draft_name_normalized is not null) as transformed from cur""")
 def q_run_counters(spark, d):

@@ -84,6 +84,28 @@ def q_outcomes(spark, d):
     return _errors(spark, d).groupBy("scope", "model", C.outcome_kind(F.col("status"), F.col("body")).alias("kind")).agg(F.count("*").alias("n"))
 
 
+_NOW = "timestamp '2024-01-20 12:00:00'"
+
+
+@query(f"""with {_CALLS}, e as (select 'key-' || (user_id % 2) as scope, event_type as model, ts as at, (props->>'$.k')::int as k from events),
+b as (select scope, model, max(at + interval 1 hour) as until from e where k % 9 = 0 group by all),
+t as (select scope, model, count(*) as n from calls where {_DAY.format('at')} = {_DAY.format(_NOW)} group by all),
+f as (select scope, model, count(*) as n from e where at >= {_NEXT.format(_NOW)} - interval 1 day and k % 4 = 0 group by all),
+m as (select distinct scope, model from calls)
+select m.scope, m.model, coalesce(t.n, 0) as calls_today, greatest(0, 20 - coalesce(t.n, 0)) as "left", coalesce(f.n, 0) as failures,
+ case when coalesce(t.n, 0) >= 20 then greatest(greatest({_NOW}, coalesce(until, {_NOW})), {_NEXT.format(_NOW)}) else greatest({_NOW}, coalesce(until, {_NOW})) end as ready_at
+from m left join t on t.scope = m.scope and t.model = m.model left join f on f.scope = m.scope and f.model = m.model left join b on b.scope = m.scope and b.model = m.model""")
+def q_day_report(spark, d):
+    """Use, failures and readiness of each model at one moment."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    scope = F.concat(F.lit("key-"), (F.col("user_id") % 2).cast("string")).alias("scope")
+    logged = table(spark, d, "events").select(scope, F.col("event_type").alias("model"), F.col("ts").cast("timestamp").alias("at"), k.alias("k"))
+    blocks = logged.filter("k % 9 = 0").groupBy("scope", "model").agg(F.max(F.col("at") + F.expr("interval 1 hour")).alias("until"))
+    outcomes = logged.withColumn("kind", F.when(F.col("k") % 4 == 0, "http_500").otherwise("http_success"))
+    out = Q.day_report(_calls(spark, d), outcomes, blocks, F.lit("2024-01-20 12:00:00").cast("timestamp"))
+    return out.withColumn("ready_at", F.col("ready_at").cast("timestamp_ntz"))
+
+
 @query(f"""with {_ERRORS} select scope, model, max(case when status in (400, 404) then at + interval 1 day when status in (401, 403) then at + interval 1 hour
  when status = 503 then at + to_milliseconds((greatest(300, wait) * 1000)::bigint) when {_KIND} = 'daily_quota_429' then {_NEXT.format('at')}
  else at + to_milliseconds((greatest(65, wait) * 1000)::bigint) end) as until from errs group by all""")
