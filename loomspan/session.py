@@ -90,3 +90,8 @@ def release_shuffles(spark: SparkSession) -> None:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.4)
+
+
+def drop_intermediate(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this library; results that still read them are lost."""
+    drop_path(spark, f"{shared_dir(spark)}/loomspan")
