@@ -471,4 +471,25 @@ hit as (select p.field, id_a, id_b from p join n x on x.field = p.field and x.id
   join n y on y.field = p.field and y.id = id_b where c >= {t} * (x.n + y.n - c) - 1e-9)
 """
 
-ORACLE = {"p6_found": _TOKENS.format(back=1, more=2, width=3, t=0.7) + "select field, id_a, id_b from hit"}
+_GROUPS = """
+with recursive txt as (
+  select distinct 'description' as field, record_id as id, description as t from source_products
+  union select distinct 'problem', draft_id, problem from catalog_drafts
+  union select distinct 'differentiator', draft_id, differentiator from catalog_drafts),
+w as (select field, id, regexp_extract_all(strip_accents(lower(replace(replace(t, 'ª', 'a'), 'º', 'o'))), '[a-z0-9]+') as w
+  from txt where t is not null and id is not null),
+s as (select field, id, list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))) as g from w where len(w) >= 5),
+k as (select field, id, md5(array_to_string(g, '|')) as node, g from s),
+n as (select field, node, any_value(g) as g, min(id) as rep from k group by field, node),
+e as (select field, node, len(g) as size, unnest(g) as x from n),
+p as (select a.field, a.node as a, b.node as b, count(*) as c, any_value(a.size) as sa, any_value(b.size) as sb
+  from e a join e b on a.field = b.field and a.x = b.x and a.node < b.node group by all),
+hit as (select field, a, b from p where c >= 0.8 * (sa + sb - c) - 1e-9),
+ways as (select field, a, b from hit union all select field, b, a from hit),
+reach(field, a, b) as (select field, node, node from n union select r.field, r.a, x.b from reach r join ways x on x.field = r.field and x.a = r.b),
+root as (select r.field, r.a, min(rep) as group_id from reach r join n on n.field = r.field and n.node = r.b group by r.field, r.a),
+deg as (select field, a, count(*) as links from ways group by field, a)
+select k.field, k.id, group_id, coalesce(links, 0) as links from k join root on root.field = k.field and root.a = k.node left join deg on deg.field = k.field and deg.a = k.node
+"""
+
+ORACLE = {"p6_found": _TOKENS.format(back=1, more=2, width=3, t=0.7) + "select field, id_a, id_b from hit", "p6_groups": _GROUPS}
