@@ -194,10 +194,15 @@ def q_enqueue_upsert(spark, d):
     return K.enqueue(_items(spark, d), entries)
 
 
-@query(f"""with {_CUR}, e as (select distinct url from ({_ENTRIES})), n as (select c.external_id, c.source_url from cur c union select regexp_extract(url, '([^/]*)/*$', 1), url from e where url not in (select source_url from cur))
+@query(f"""with {_CUR}, o as (select url, min(position) as position from ({_ENTRIES}) group by url),
+e as (select url from o union select replace(url, 'https://www.', 'https://' || h || '.') from o, (select unnest(['old', 'new']) as h) where position % 50 = 0), n as (select c.external_id, c.source_url from cur c union select regexp_extract(url, '([^/]*)/*$', 1), url from e where url not in (select source_url from cur))
 select external_id, count(*) as urls from n group by 1 having count(*) > 1""")
 def q_enqueue_clashes(spark, d):
+    """Identities that several URLs claim; one entry in fifty is planted under two other hosts."""
     entries = q_dedupe_last_value(spark, d)
+    planted = entries.filter("position % 50 = 0").withColumn("h", F.explode(F.array(F.lit("https://old."), F.lit("https://new."))))
+    planted = planted.withColumn("url", F.replace("url", F.lit("https://www."), F.col("h"))).drop("h")
+    entries = entries.unionByName(planted)
     return K.enqueue_clashes(_items(spark, d), entries)
 
 
@@ -311,10 +316,14 @@ jn as (select draft_id, name, public_text, source_name, array_to_string(list_fil
 _GRAMS = "case when len({0}) >= 7 then list_transform(range(1, len({0}) - 5), lambda i: array_to_string({0}[i:i+6], ' ')) else [] end"
 
 
-@query(f"""with {_PAIRS}, w as (select draft_id, regexp_extract_all(strip_accents(lower(public_text)), '[a-z0-9]+') as a, regexp_extract_all(strip_accents(lower(source_text)), '[a-z0-9]+') as b from jn)
+@query(f"""with {_PAIRS}, v as (select draft_id, regexp_extract_all(strip_accents(lower(public_text)), '[a-z0-9]+') as a, regexp_extract_all(strip_accents(lower(source_text)), '[a-z0-9]+') as b from jn),
+w as (select draft_id, case when draft_id % 25 = 0 and len(b) >= 50 then coalesce(a, []) || b[11:40] else a end as a, b from v)
 select draft_id from w where list_has_any({_GRAMS.format('a')}, {_GRAMS.format('b')})""")
 def q_ngram_overlap(spark, d):
+    """Drafts that copy seven words; one in twenty-five with a longer source gets thirty words of it."""
     rows = _screened(spark, d).select("draft_id", C.normalize_text(F.col("public_text")).alias("p"), C.normalize_text(F.col("source_text")).alias("s"))
+    copied = F.concat_ws(" ", "p", F.array_join(F.slice(F.split("s", " "), 11, 30), " "))
+    rows = rows.withColumn("p", F.when((F.col("draft_id") % 25 == 0) & (F.size(F.split("s", " ")) >= 50), copied).otherwise(F.col("p")))
     return rows.filter(F.arrays_overlap(C.word_ngrams(F.col("p"), 7), C.word_ngrams(F.col("s"), 7))).select("draft_id")
 
 
