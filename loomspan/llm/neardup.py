@@ -324,7 +324,8 @@ def similar_nodes(sets: DataFrame, threshold: float, rows: int = ROWS, bands: in
     filled = sets.filter("seqs is not null").select("node", "seqs")
     buckets = max(parts, -(-filled.count() * bands // BUCKET_ENTRIES))
     blocks = filled.mapInArrow(_bander(rows, bands, buckets), "bucket int, hot boolean, blob binary")
-    grouped = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    # A bucket is a partition of its own; by hash several would meet in one task.
+    grouped = blocks.repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
     found = persisted(grouped.mapInArrow(_pairer(threshold), "a long, b long, hot boolean"), "candidates")
     del blocks, grouped
     release_shuffles(spark)

@@ -32,7 +32,8 @@ GRID, GAP = 1024, 1e-3
 
 def pieces(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """(pack_name, capacity, doc_id, piece, size): whole documents, larger ones in full pieces and a rest."""
-    pairs = sizes.filter("tokens > 0").crossJoin(F.broadcast(targets.filter("capacity_tokens > 0").distinct()))  # a few fixed targets
+    wanted = targets.filter("capacity_tokens > 0 and pack_name is not null").select("pack_name", "capacity_tokens").distinct()
+    pairs = sizes.filter("tokens > 0").select("doc_id", "tokens").crossJoin(F.broadcast(wanted))  # a few fixed targets
     cap = F.col("capacity_tokens").cast("long")
     number = F.ceil(F.col("tokens") / cap)
     cut = pairs.select("pack_name", cap.alias("capacity"), "doc_id", "tokens", F.posexplode(F.sequence(F.lit(1).cast("long"), number)).alias("piece", "_n"))
@@ -249,12 +250,12 @@ def packed(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 
     A document is whole (piece 0) unless it has more tokens than the capacity;
     then it fills containers and its last piece is packed like a document.
-    Documents without tokens are in no container, targets that are not positive
-    have none. Repeated doc_ids are packed each for itself; columns besides
+    Documents without tokens are in no container, targets without a name or a
+    positive capacity have none. Repeated doc_ids are packed each for itself; columns besides
     doc_id, tokens, pack_name and capacity_tokens are ignored.
     """
     spark = sizes.sparkSession
-    capacity = {r["pack_name"]: r["capacity_tokens"] for r in targets.filter("capacity_tokens > 0").distinct().collect()}
+    capacity = {r["pack_name"]: r["capacity_tokens"] for r in targets.filter("capacity_tokens > 0 and pack_name is not null").select("pack_name", "capacity_tokens").distinct().collect()}
     items = persisted(pieces(sizes, targets), "pieces")
     threshold = F.col("capacity") * SMALL_SHARE
     big = items.filter(F.col("size") > threshold)

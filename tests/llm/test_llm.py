@@ -118,6 +118,23 @@ def test_placeholders():
         assert not messages.unfilled(text), text
 
 
+def test_messages_are_taken_apart_and_masked():
+    got = [m for m, _ in messages.sentences("Text goes here. Text goes here. undefined undefined asdf asdf qwer Error 404: Not found")]
+    assert got == ["text goes here", "text goes here", "undefined undefined", "asdf asdf qwer", "error 0 not found"]
+    assert messages.mask(messages.plain("Request id a3334d7fdd03 of a@b.example at https://x.example/1")) == "request id 0 of 0 at 0"
+    assert messages.sentences("") == [] and not messages.residue_line("")
+
+
+def test_real_content_beside_a_message_is_none(spark):
+    message = "Access denied. Please try again in a few minutes."
+    rows = []
+    for i in range(12):
+        body = "The quiet engine sorts long reports for the teams of the town every single day." if i % 2 else ""
+        rows.append((i, f"https://s.example/products/name{i}x", f"https://h{i}.example/", f"Name{i}x", f"Name{i}x\n{body}\n{message}", None, i))
+    df = spark.createDataFrame(rows, "page_id long, source_url string, final_url string, title string, text string, description string, messages int")
+    assert {r["page_id"] for r in residue.residue(df).collect()} == {i for i in range(12) if i % 2 == 0}
+
+
 def test_residue_needs_two_sources(spark):
     error = "404 Not Found\nThe page you are looking for does not exist or has moved."
     rows = [(i, f"https://s.example/products/p{i}", f"https://h{i}.example/", t, error if i < 2 else "Real words about real things, and quite a few of them too.", None) for i, t in enumerate(["Access denied | H0", "404 page designer", None])]
@@ -240,8 +257,8 @@ def test_packed_blocks_round_trip():
 def test_packing_keeps_every_token(spark):
     rng = random.Random(8)
     rows = [(i, rng.choice([3, 17, 40, 55, 70, 99, 100, 101, 260, 0])) for i in range(500)]
-    sizes = spark.createDataFrame(rows, "doc_id long, tokens long")
-    targets = spark.createDataFrame([("a", 100), ("b", 64), ("none", 0)], "pack_name string, capacity_tokens int")
+    sizes = spark.createDataFrame([(*r, 1, 1) for r in rows] + [(900, None, 1, 1)], "doc_id long, tokens long, capacity_tokens int, size int")
+    targets = spark.createDataFrame([("a", 100, 7), ("b", 64, 7), ("none", 0, 7), (None, 50, 7), ("a", 100, 8)], "pack_name string, capacity_tokens int, tokens int")
     got = packing.packed(sizes, targets).collect()
     for name, cap in (("a", 100), ("b", 64)):
         fill, back, parts = {}, {}, {}
@@ -259,7 +276,7 @@ def test_packing_keeps_every_token(spark):
 def test_mixing_meets_shares_and_caps(spark):
     rows = [(i, "big" if i % 10 else "small", 300, 0) for i in range(2000)] + [(5000, None, 10, 0), (5001, "big", 0, 0)]
     sizes = spark.createDataFrame(rows, "doc_id long, source string, tokens long, shard int")
-    targets = spark.createDataFrame([("m", "big", 0.7, 1), ("m", "small", 0.3, 3), ("empty", "nowhere", 1.0, 2)], "mix_name string, source string, target_share double, max_repeats int")
+    targets = spark.createDataFrame([("m", "big", 0.7, 1), ("m", "small", 0.3, 3), ("empty", "nowhere", 1.0, 2), (None, "big", 1.0, 1), ("void", "big", None, 1), ("never", "big", 1.0, None)], "mix_name string, source string, target_share double, max_repeats int")
     got = mixing.mixed(sizes, targets).collect()
     total = sum(r["tokens"] for r in got)
     assert abs(sum(r["tokens"] for r in got if r["source"] == "small") / total - 0.3) < 0.01
@@ -344,6 +361,13 @@ def test_only_forms_of_protected_places_disclose(spark):
     assert not any(100 <= d < 200 for d, _, _ in got)
 
 
+def test_cleaning_keeps_the_rest():
+    text = "Ada: +1 and x@y.example, bye"
+    spans = [{"start": 5, "stop": 7, "kind": "phone"}, {"start": 12, "stop": 23, "kind": "email"}, {"start": 13, "stop": 14, "kind": "person"}]
+    assert personal.replaced(text, spans)[0] == "Ada: [PHONE] and [EMAIL], bye"
+    assert personal.replaced(None, spans) == (None, 0) and personal.replaced("", []) == ("", 0)
+
+
 def test_names_are_learned(spark):
     rows = [(i, f"Some words here and there.\nRegards,\n{g} {f}\n", 0) for i, (g, f) in enumerate(itertools.product(["Ada", "Bela", "Cato"], ["Lindwick", "Morvosen", "Halekamp"]))]
     rows += [(50, "We met Ada Morvosen and Halekamp, Bela at the desk. Ada Planner and Bela Notes are tools. Many words here.", 0), (51, None, 0), (52, "", 0)]
