@@ -376,3 +376,18 @@ def test_names_are_learned(spark):
     got = {r["found_text"] for r in personal.personal_spans(df).filter("doc_id = 50 and kind = 'person'").collect()}
     assert got == {"Ada Morvosen", "Halekamp, Bela"}
     assert personal.personal_spans(df.limit(0)).count() == 0
+
+
+# -- tokens --------------------------------------------------------------------
+
+
+def test_vocabulary_files_agree(spark):
+    from loomspan.llm import tokens
+
+    folder = "/opt/tokenizers"
+    texts = ["", "Plain words, 42 of them.", "Größe — „gut“ 5 €\n\n  indented", "<|endoftext|> is text", "日本語 и кириллица"]
+    ranks, merges = (tokens.sizer(f"{folder}/byte_bpe_50k.{kind}") for kind in ("tiktoken", "json"))
+    assert ranks(texts) == merges(texts) and ranks(texts)[0] == 0
+    assert all(n > 0 for n in tokens.sizer(f"{folder}/piece_bpe_32k.model")(texts[1:]))
+    df = spark.createDataFrame([(1, "two words", "x"), (2, None, "y"), (3, "", "z")], "doc_id long, text string, tokens string")
+    assert {(r["doc_id"], r["tokens"]) for r in tokens.token_counts(df, ("doc_id",)).collect()} == {(1, 2), (2, 0), (3, 0)}
