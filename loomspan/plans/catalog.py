@@ -619,3 +619,52 @@ def q_retryable(spark, d):
     rows = table(spark, d, "external_pages").filter("skipped_reason is not null").select("page_id", "skipped_reason").distinct()
     status = F.regexp_extract("skipped_reason", r"^http-error:(\d+)$", 1).try_cast("int")
     return rows.select("page_id", F.coalesce(status.isin(*C.RETRYABLE_STATUS), F.col("skipped_reason") == "http-error:network").alias("retry"))
+
+
+@query("""select entry_id, attempt, greatest(least(120.0, pow(2, attempt - 1) + (entry_id % 4) / 2.0), case when entry_id % 5 = 0 then 30.0 else 0.0 end) as wait from (select distinct entry_id, attempt from run_items)""")
+def q_backoff(spark, d):
+    """The wait before each attempt: doubled, with jitter, at least what the server asked for."""
+    rows = table(spark, d, "run_items").select("entry_id", "attempt").distinct()
+    asked = F.when(F.col("entry_id") % 5 == 0, F.lit(30.0))
+    return rows.select("entry_id", "attempt", C.backoff(F.col("attempt"), (F.col("entry_id") % 4) / 2.0, asked).alias("wait"))
+
+
+@query("""select page_id, case when page_id % 3 = 0 then true when page_id % 5 = 0 then true else not (starts_with(final_url, 'https://') or starts_with(final_url, 'http://')) end as refused
+from (select distinct page_id, final_url from external_pages where final_url is not null)""")
+def q_redirects(spark, d):
+    """Redirects that must not be followed: of requests that send something, with credentials, or to no public address."""
+    rows = table(spark, d, "external_pages").filter("final_url is not null").select("page_id", "final_url").distinct()
+    method = F.when(F.col("page_id") % 3 == 0, "POST").otherwise("GET")
+    return rows.select("page_id", C.redirect_refused(method, F.col("page_id") % 5 == 0, C.url_refusal(F.col("final_url"))).alias("refused"))
+
+
+@query(f"""select record_id, greatest(1, least(25, coalesce(case when record_id % 4 > 0 then record_id % 40 end, 7)))::integer as batch, left(sha256(source_url), 16) as fingerprint,
+ list_filter(list_transform(string_split(source_name || ', ' || coalesce(tagline, ''), ','), lambda x: {_COLLAPSE.format('x')}), lambda x: x <> '') as parts, left(trim(coalesce(description, ''), ' '), 2000) as error
+from (select distinct record_id, source_url, source_name, tagline, description from source_products)""")
+def q_request_fields(spark, d):
+    """The clamped batch size, the key's fingerprint, listed names and the stored error text of a request."""
+    rows = table(spark, d, "source_products").select("record_id", "source_url", "source_name", "tagline", "description").distinct()
+    listed = F.concat(F.col("source_name"), F.lit(", "), F.coalesce("tagline", F.lit("")))
+    return rows.select(
+        "record_id", C.clamp_batch(F.when(F.col("record_id") % 4 > 0, F.col("record_id") % 40)).cast("int").alias("batch"), C.fingerprint(F.col("source_url")).alias("fingerprint"),
+        C.string_list(listed).alias("parts"), C.error_text(F.coalesce("description", F.lit(""))).alias("error"),
+    )
+
+
+@query(f"""select page_id, case when page_id % 11 = 0 then 'robots-disallowed' when page_id % 13 = 0 then 'http-error:404' when page_id % 17 = 0 then 'http-error:network'
+ when page_id % 4 = 2 then 'unsupported-content-type:application/pdf' end as reason from (select distinct page_id from external_pages)""")
+def q_skip_reasons(spark, d):
+    """Why a recorded page gives no text, by the order of the checks."""
+    rows = table(spark, d, "external_pages").select("page_id").distinct()
+    i = F.col("page_id")
+    kinds = F.element_at(F.array(*[F.lit(x) for x in ("text/html; charset=utf-8", "TEXT/PLAIN", "application/pdf", "")]), (i % 4 + 1).cast("int"))
+    failed = (i % 13 == 0) | (i % 17 == 0)
+    reason = W.skip_reason(F.lit(None).cast("string"), F.when(i % 11 == 0, "robots-disallowed"), F.when(i % 13 == 0, 404), failed, kinds)
+    return rows.select("page_id", reason.alias("reason"))
+
+
+@query(f"""select url, position from (select url, min(position) as position, arg_max(coalesce(last_modified, '~'), position) as m from ({_ENTRIES}) group by url)
+order by {_EPOCH.format('m')} desc, position limit 50 offset 5""")
+def q_discovered(spark, d):
+    """Fifty newest entries after the first five, each URL once."""
+    return W.discovered(q_sitemap_entries(spark, d), "newest", 5, 50).select("url", "position")

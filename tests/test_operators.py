@@ -73,6 +73,31 @@ def test_page_signals(spark):
     assert (r["source_name"], r["tagline"], r["description"], r["website_url"], r["categories"], r["reject"]) == ("Acme Beacon", "Meta", "D", "https://acme.example/start?plan=free", ["A", "B"], None)
 
 
+def test_bodies_become_text(spark):
+    rows = [(1, gzip.compress("größe".encode()), "gzip", "text/html"), (2, "größe".encode("cp1252"), None, 'text/html; charset="cp1252"'), (3, b"abc", "br", ""), (4, b"a\xff", "", "text/plain; charset=none"), (5, None, None, None)]
+    df = spark.createDataFrame(rows, "i int, body binary, encoding string, kind string")
+    got = {r["i"]: (r["t"]["text"], r["t"]["error"]) for r in df.select("i", web.body_text("body", "encoding", "kind").alias("t")).collect()}
+    assert got[1] == got[2] == ("größe", None) and got[3][0] is None and "br" in got[3][1] and got[4] == ("a\ufffd", None) and got[5] == ("", None)
+
+
+def test_settings_keep_unpaired_quotes(tmp_path):
+    path = tmp_path / "env"
+    path.write_text("# note\nexport A=1\nB=\"two words\"\nC='open\nnothing\n")
+    assert files.read_settings(str(path)) == {"A": "1", "B": "two words", "C": "'open"}
+    assert files.read_settings(str(tmp_path / "none")) == {}
+
+
+def test_marks_and_clashes(spark):
+    schema = "source_url string, external_id string, status string, external_checked boolean, draft_name_normalized string, generation_model string, source_content_hash string, published_slug string, attempts int, failed_stage string, error string"
+    items = spark.createDataFrame([("u/a", "a", "failed", False, None, None, None, None, 2, "scrape", "e"), ("u/b", "b", "queued", False, None, None, None, None, 0, None, None)], schema)
+    scraped = K.mark(items, spark.createDataFrame([("u/a",), ("u/a",), ("u/none",)], "source_url string"), "scraped")
+    drafted = K.mark(scraped, spark.createDataFrame([("u/a", "New, Name", "m", "h")], "source_url string, name string, model string, hash string"), "transformed")
+    a, b = drafted.orderBy("source_url").collect()
+    assert (a["status"], a["failed_stage"], a["draft_name_normalized"], a["source_content_hash"], a["attempts"]) == ("transformed", None, "new name", "h", 2) and b["status"] == "queued"
+    entries = spark.createDataFrame([("v/a", None, 0), ("u/b", None, 1)], "url string, last_modified string, ordinal int")
+    assert [tuple(r) for r in K.enqueue_clashes(items, entries).collect()] == [("a", 2)]
+
+
 def test_hidden_depth_and_best_product():
     facts = web.page_facts('<svg><path/></svg></svg><p>a</p><header><img><b>x</b></header>still hidden</i>shown<script>no</script><meta name="Description" content="m">')
     assert [f for f in facts if f[0] != "title"] == [("text", "a"), ("text", "shown"), ("description", "m")]
