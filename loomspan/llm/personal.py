@@ -96,6 +96,13 @@ _UPPER_SPAN = re.compile(rf"(?<![\w@#’'.+-])(?:([A-ZÀ-Þ])\. ?(?:[A-ZÀ-Þ]\.
 _LOWER_SPAN = re.compile(
     rf"(?:^|(?<=[.!?)(\n-])\s*|(?<=\s)(?:by|with|is|to|an|à|a|ist|par|con|por|contact:)\s)(({_LOWER})(,? )(?:[A-Za-z]\. ?)?({_LOWER}))(?![\w@+])"
 )
+#: Where an address may begin or a number is long enough to be one of a person; found before the full patterns are tried.
+_NUMBERED = re.compile(r"\d[a-z]?(?: ?bis)?,? (?:[A-ZÀ-Þ]|rue |avenue |impasse |boulevard |place |allée |chemin |quai )|[Bb]ox \d")
+_STREETS = (
+    "straße ", "strasse ", "str. ", "weg ", "gasse ", "platz ", "allee ", "ring ", "ufer ", "damm ", "Alte", "Am ", "An der ", "Im ", "Zum ", "Zur ", "Neue", "Obere ", "Untere ", "Calle ",
+    "Avenida ", "Avda", "Plaza ", "Paseo ", "Camino ", "C/", "Postfach", "Apartado", "BP ",
+)
+_LONG = re.compile(r"\d(?:[ ./()-]{0,3}\d){5}")
 _BLOCK = re.compile(rf"(?:^|\n){_CLOSING},?\n", re.IGNORECASE)
 BLOCK_LINES = 6
 _DIGIT = re.compile(r"\d")
@@ -153,15 +160,16 @@ def proposals(text: str, lowered: str | None = None, signed: list[int] | None =
         form = form if "@" in form else "disguised" + ("(" if not m.group().replace(" ", "").isalnum() else "")
         take(m, 0, "email", form + re.split(r"\W+", m.group())[-1].lower(), form[:3])
     if digits:
-        for m in ADDRESS.finditer(text):
+        for m in ADDRESS.finditer(text) if _NUMBERED.search(text) or any(street in text for street in _STREETS) else ():
             form = m.lastgroup or "po"
             take(m, 0, "address", f"{form}:{(m[form] or '').lower()}", form[:2])
         for m in _ID_VALUE.finditer(text) if any(part in lowered for part in _LABEL_PARTS) else ():
             if _LABELLED.search(text, max(0, m.start() - 48), m.start()):
                 take(m, 0, "id_number", shape(m.group()), shape_class(m.group()), True)
-        for m in ID_NUMBER.finditer(text):
+        long = _LONG.search(text) is not None
+        for m in ID_NUMBER.finditer(text) if long else ():
             take(m, 0, "id_number", shape(m.group()), shape_class(m.group()))
-        for m in PHONE.finditer(text):
+        for m in PHONE.finditer(text) if long else ():
             if 9 <= sum(c.isdigit() for c in m.group()) <= 15:
                 take(m, 0, "phone", shape(m.group()), shape_class(m.group()))
     return sorted(out)
@@ -182,7 +190,11 @@ def slots(text: str, signed: list[int]) -> Iterator[tuple[str, str]]:
 
 
 def name_spans(text: str, taken: list[tuple]) -> Iterator[tuple[int, int, str | None, str, str]]:
-    """(start, end, given, family, form) of spans that might be names and touch no other proposal."""
+    """(start, end, first word, second word, form) of spans that might be names and touch no other proposal.
+
+    `form` is `pair` for two words in either order, `comma` for a family name
+    before a given name, `initial` for a family name alone.
+    """
     edges = iter(taken)
     block = next(edges, None)
     at = 0
@@ -196,23 +208,17 @@ def name_spans(text: str, taken: list[tuple]) -> Iterator[tuple[int, int, str |
             continue
         if m[2]:
             yield s, e, None, m[2].lower(), "initial"
-            continue
-        a, b = m[3].lower(), m[5].lower()
-        if "," not in m[4]:
-            yield s, e, a, b, "first"
-        yield s, e, b, a, "last"
+        else:
+            yield s, e, m[3].lower(), m[5].lower(), "comma" if "," in m[4] else "pair"
     for m in _LOWER_SPAN.finditer(text):
         s, e = m.span(1)
         if all(e <= x[0] or s >= x[1] for x in taken):
-            a, b = m[2].lower(), m[4].lower()
-            if "," not in m[3]:
-                yield s, e, a, b, "first"
-            yield s, e, b, a, "last"
+            yield s, e, m[2].lower(), m[4].lower(), "comma" if "," in m[3] else "pair"
 
 
 _COLUMNS = (
-    ("what", pa.string()), ("doc_id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string()), ("found_text", pa.string()), ("given", pa.string()),
-    ("family", pa.string()), ("form", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("in_given", pa.int64()), ("in_family", pa.int64()),
+    ("what", pa.string()), ("doc_id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string()), ("found_text", pa.string()), ("one", pa.string()),
+    ("two", pa.string()), ("form", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("in_given", pa.int64()), ("in_family", pa.int64()),
 )
 _SCANNED = ", ".join(f"{c} {'long' if t == pa.int64() else 'string'}" for c, t in _COLUMNS)
 
@@ -233,8 +239,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             taken = proposals(text, lowered, signed)
             for s, e, kind, term, of, certain in taken:
                 rows.append(("form", doc_id, s, e, kind, text[s:e], None, None, of, term, int(certain), None, None))
-            for s, e, given, family, form in name_spans(text, taken):
-                rows.append(("name", doc_id, s, e, "person", text[s:e], given, family, form, None, None, None, None))
+            for s, e, one, two, form in name_spans(text, taken):
+                rows.append(("name", doc_id, s, e, "person", text[s:e], one, two, form, None, None, None, None))
         parts: Counter = Counter()
         # Words are taken out of their signs once per distinct form.
         for form, n in seen.items():
@@ -253,7 +259,7 @@ def scan(documents: DataFrame) -> DataFrame:
 
 
 def disclosures(scanned: DataFrame) -> DataFrame:
-    """(term, role, bits): pointwise mutual information of words and protected places.
+    """(term, given_bits, family_bits): pointwise mutual information of words and protected places, null below MIN_BITS.
 
     A term of the form `~xxxx` stands for all words with that ending.
     """
@@ -262,13 +268,12 @@ def disclosures(scanned: DataFrame) -> DataFrame:
     endings = terms.filter(F.length("term") > ENDING + 1).groupBy(F.concat(F.lit("~"), F.substring("term", -ENDING, ENDING)).alias("term"))
     both = terms.unionByName(endings.agg(*[F.sum(c).alias(c) for c in counts])).filter("in_given > 0 or in_family > 0")
     totals = terms.agg(*[F.sum(c).alias(c) for c in counts]).first()
-    out = None
+    out = both.select("term", "n", "in_given", "in_family")
     for role in ("given", "family"):
         base = (totals[f"in_{role}"] or 0) / max(totals["n"] or 0, 1) or 1.0
         bits = F.log2(F.col(f"in_{role}") / F.col("n") / F.lit(base))
-        part = both.filter(F.col(f"in_{role}") > 0).select("term", F.lit(role).alias("role"), bits.alias("bits"))
-        out = part if out is None else out.unionByName(part)
-    return persisted(out.filter(F.col("bits") >= MIN_BITS), "disclosures")
+        out = out.withColumn(f"{role}_bits", F.when((F.col(f"in_{role}") > 0) & (bits >= MIN_BITS), bits))
+    return persisted(out.select("term", "given_bits", "family_bits").filter("given_bits is not null or family_bits is not null"), "disclosures")
 
 
 def disclosing_forms(scanned: DataFrame) -> DataFrame:
@@ -288,30 +293,34 @@ def disclosing_forms(scanned: DataFrame) -> DataFrame:
     return forms.join(fine, ["kind", "form", "term"]).select("doc_id", "start", "stop", "kind", "found_text")
 
 
-def _bits_of(names: DataFrame, column: str, scores: DataFrame) -> DataFrame:
-    """Disclosure of a name column: the least of its hyphenated parts, by word or else by ending."""
-    words_ = names.select(F.col(column).alias("name")).filter("name is not null").distinct()
-    parts = words_.select("name", F.explode(F.split("name", "-")).alias("term"))
-    ending = F.concat(F.lit("~"), F.substring("term", -ENDING, ENDING))
-    own = scores.filter(F.col("role") == column).select("term", "bits")
-    by_word = parts.withColumn("ending", ending).join(own, "term", "left")
-    by_end = by_word.join(own.select(F.col("term").alias("ending"), F.col("bits").alias("end_bits")), "ending", "left")
-    bits = F.coalesce("bits", F.when(F.length("term") > ENDING + 1, F.col("end_bits")), F.lit(0.0))
-    found = by_end.groupBy("name").agg(F.min(bits).alias(f"{column}_bits"))
-    return found.filter(F.col(f"{column}_bits") >= MIN_BITS).withColumnRenamed("name", column)
+def word_bits(names: DataFrame, scores: DataFrame) -> DataFrame:
+    """(word, given_bits, family_bits) of words that disclose in a role: the least of the hyphenated parts, by word or else by ending."""
+    words_ = names.select(F.explode(F.array("one", "two")).alias("word")).filter("word is not null").distinct()
+    ending = F.when(F.length("term") > ENDING + 1, F.concat(F.lit("~"), F.substring("term", -ENDING, ENDING)))
+    parts = words_.select("word", F.explode(F.split("word", "-")).alias("term")).withColumn("ending", ending)
+    ends = scores.select(F.col("term").alias("ending"), F.col("given_bits").alias("given_end"), F.col("family_bits").alias("family_end"))
+    joined = parts.join(scores, "term", "left").join(ends, "ending", "left")
+    least = [F.min(F.coalesce(f"{role}_bits", f"{role}_end", F.lit(0.0))).alias(f"{role}_bits") for role in ("given", "family")]
+    return joined.groupBy("word").agg(*least).filter((F.col("given_bits") >= MIN_BITS) | (F.col("family_bits") >= MIN_BITS))
 
 
 def persons(scanned: DataFrame) -> DataFrame:
     """Spans whose words disclose a person together, and each one some."""
-    scores = disclosures(scanned)
-    names = scanned.filter("what = 'name'").select("doc_id", "start", "stop", "found_text", "given", "family", "form")
-    # The family name decides first: few of the words in question are one.
-    scored = names.join(persisted(_bits_of(names, "family", scores), "family"), "family")
-    scored = scored.join(persisted(_bits_of(scored, "given", scores), "given"), "given", "left")
-    given, family = F.coalesce("given_bits", F.lit(0.0)), F.col("family_bits")
-    kept = scored.filter(((F.col("form") == "initial") & (family >= JOINT_BITS)) | ((given >= MIN_BITS) & (given + family >= JOINT_BITS)))
+    names = scanned.filter("what = 'name'").select("doc_id", "start", "stop", "found_text", "one", "two", "form")
+    bits = persisted(word_bits(names, disclosures(scanned)), "words")
+    of = lambda c: bits.select(F.col("word").alias(c), F.col("given_bits").alias(f"{c}_given"), F.col("family_bits").alias(f"{c}_family"))
+    # The second word discloses something in every form; few of the words in question do.
+    scored = names.join(of("two"), "two").join(of("one"), "one", "left")
+
+    def together(given: str, family: str):
+        fits = (F.col(given) >= MIN_BITS) & (F.col(family) >= MIN_BITS)
+        return F.when(fits, F.col(given) + F.col(family)).otherwise(F.lit(0.0))
+
+    turned = together("two_given", "one_family")
+    joint = F.when(F.col("form") == "initial", F.col("two_family")).when(F.col("form") == "comma", turned).otherwise(F.greatest(turned, together("one_given", "two_family")))
+    kept = scored.withColumn("bits", joint).filter(F.col("bits") >= JOINT_BITS)
     # Of overlapping candidates the one that discloses most, then the longer; a person has few.
-    best = F.max(F.struct((given + family).alias("b"), (F.col("stop") - F.col("start")).alias("n"), "start", "stop", "found_text"))
+    best = F.max(F.struct(F.col("bits").alias("b"), (F.col("stop") - F.col("start")).alias("n"), "start", "stop", "found_text"))
     first = kept.groupBy("doc_id", "start").agg(best.alias("m")).select("doc_id", "m.*")
     last = first.groupBy("doc_id", "stop").agg(F.max(F.struct("b", "n", "start", "found_text")).alias("m")).select("doc_id", "stop", "m.*")
     return last.select("doc_id", "start", "stop", F.lit("person").alias("kind"), "found_text")
