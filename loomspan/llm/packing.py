@@ -23,7 +23,7 @@ from loomspan.llm.tokens import token_counts
 from loomspan.operators.positions import ordinals
 from loomspan.session import persisted, table
 
-#: Groups of sizes; as many sizes as EXACT are not rounded at all.
+#: Groups of sizes; up to EXACT sizes of a capacity within the grid are not rounded at all.
 GROUPS, EXACT = 160, 480
 SMALL_SHARE = 0.1
 #: Sizes are rounded up to this share of the capacity in the knapsacks, and the linear program ends this near its bound.
@@ -40,27 +40,31 @@ def pieces(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return cut.select("pack_name", "capacity", "doc_id", "piece", F.least("capacity", F.col("tokens") - F.col("piece") * F.col("capacity")).alias("size"))
 
 
-def _priciest(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """The filling of a container that is worth most, by number of pieces."""
-    worth = np.flatnonzero(prices > 0)
-    held = np.zeros(capacity + 1)
+def _priciest(sizes: np.ndarray, prices: np.ndarray, capacity: int, places: np.ndarray) -> tuple[float, np.ndarray]:
+    """The filling of a container that is worth most, by number of pieces.
+
+    `places` has for each size and room the place of what is left of the room
+    in a row of worths that begins with impossible ones.
+    """
+    worth = np.where(prices > 0, prices, -1.0)[:, None]
+    held = np.concatenate([np.full(capacity + 1, -1e9), np.zeros(capacity + 1)])
+    rooms = np.arange(capacity + 1)
     took: list[np.ndarray] = []
-    at = np.arange(capacity + 1)[None, :] - sizes[worth][:, None]
     for _ in range(capacity // int(sizes.min())):
-        value = np.where(at >= 0, held[np.maximum(at, 0)] + prices[worth][:, None], -1.0)
+        value = held[places]
+        value += worth
         best = value.argmax(axis=0)
-        more = value[best, np.arange(capacity + 1)]
-        better = more > held + 1e-12
+        more = value[best, rooms]
+        better = more > held[capacity + 1 :] + 1e-12
         if not better.any():
             break
         took.append(np.where(better, best, -1))
-        held = np.where(better, more, held)
+        held[capacity + 1 :] = np.where(better, more, held[capacity + 1 :])
     room, filling = capacity, np.zeros(len(sizes), np.int64)
     for layer in reversed(took):
         if layer[room] >= 0:
-            piece = worth[layer[room]]
-            filling[piece] += 1
-            room -= int(sizes[piece])
+            filling[layer[room]] += 1
+            room -= int(sizes[layer[room]])
     return float(prices @ filling), filling
 
 
@@ -70,12 +74,13 @@ def _linear_program(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> lis
     grid, room = -(-sizes // unit), capacity // unit
     grid = np.minimum(grid, room)
     m = len(sizes)
+    places = (np.arange(room + 1)[None, :] - grid[:, None] + room + 1).astype(np.int32)
     fillings = np.diag(room // grid)
     inverse = np.diag(1.0 / (room // grid))
     used = counts / (room // grid)
     for _ in range(40 * m):
         prices = inverse.sum(axis=0)
-        value, filling = _priciest(grid, prices, room)
+        value, filling = _priciest(grid, prices, room, places)
         # prices / value is feasible in the dual, so its worth is a lower bound.
         if value <= 1 + 1e-9 or used.sum() <= (prices @ counts) / value * (1 + GAP):
             break
@@ -136,7 +141,7 @@ class LargePlan:
         width = max(1, -(-self.total // GROUPS))
         edges = np.cumsum([n for _, n in ordered]) if ordered else np.array([], np.int64)
         # With few sizes each is a group of its own and nothing is rounded.
-        self.starts = [0, *edges[:-1].tolist()] if 0 < len(ordered) <= EXACT else list(range(0, self.total, width))
+        self.starts = [0, *edges[:-1].tolist()] if 0 < len(ordered) <= EXACT and capacity <= GRID else list(range(0, self.total, width))
         sizes = [ordered[int(np.searchsorted(edges, s, "right"))][0] for s in self.starts]
         counts = np.diff([*self.starts, self.total]).tolist()
         self.slots: list[tuple[list[int], list[int], list[int]]] = [([0], [], []) for _ in sizes]
