@@ -253,11 +253,11 @@ def test_cycles_publish_before_they_generate_and_stop(spark):
 
 def test_screening(spark):
     rows = [(1, "Acme Beacon", "we sell lamps that shine in the dark all night long", "Zed", "we sell lamps that shine in the dark")]
-    rows += [(2, "Claude Code", "x", "Zed", "ask Claude for help"), (3, "Data Hub", None, "Zed", "open data hub tools")]
+    rows += [(2, "Quillon Code", "x", "Zed", "ask Quillon for help"), (3, "Data Hub", None, "Zed", "open data hub tools")]
     df = spark.createDataFrame(rows, "id int, source_name string, source_text string, name string, public_text string")
     got = {r["id"]: r["issues"] for r in D.screen(df).collect()}
     assert got[1] == ["public copy contains a seven-word source phrase"]
-    assert got[2] == ["source brand token appears in public copy: claude"] and got[3] == []
+    assert got[2] == ["source brand token appears in public copy: quillon"] and got[3] == []
 
 
 def test_empty_tables(spark):
