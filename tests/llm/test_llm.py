@@ -55,6 +55,34 @@ def test_frames_of_small_pages(spark):
     assert frames.frame_lines(pages.limit(0)).count() == 0
 
 
+def test_frames_learn_from_every_page(spark):
+    rows = [(i, None, None, f"Plain page {i}", 0, 0) for i in range(8000)]
+    text = "Nav alpha\nAcme{0}x\nReal sentences stand here with many plain words in a row and then they end, page {0}.\n{1}"
+    rows += [(8000 + i, f"https://s.example/products/acme{i}x", f"https://h{i}.example/", text.format(i, c), 0, 0) for i, c in enumerate("œжøłñąßčďę")]
+    _, (weights, logs) = frames.prepared(_pages(spark, rows))
+    # Ten pages of 8,010 give a phrase its weight, and a character of one page is counted.
+    assert set(logs) == set("œжøłñąßčďę") and weights[0][frames.logistic.ids(["l:nav alpha"])[0]] > 0
+
+
+def test_a_fit_sums_all_blocks(spark):
+    logistic = frames.logistic
+    rng = np.random.default_rng(5)
+    truth, rows = {0: 2.0, 1: -2.0, 2: 0.0}, []
+    for _ in range(7):
+        picked = [sorted(set(rng.integers(0, 3, 2).tolist())) for _ in range(200)]
+        label = [int(rng.random() < 1 / (1 + np.exp(-sum(truth[x] for x in p)))) for p in picked]
+        rows.append((picked, label))
+    split = [logistic.block(p, range(200), [0] * 200, y, [0] * 200, [1] * 200) for p, y in rows]
+    data = spark.createDataFrame([tuple(b.to_pylist()[0].values()) for b in split], logistic.SCHEMA).repartition(3)
+    choose = lambda b: (b.label, b.label >= 0)
+    w = logistic.fit(data, choose, dimensions=4)
+    # At the minimum the gradient over all 1,400 examples and the penalty cancel.
+    x = np.array([[float(k in p) for k in range(4)] for picked, _ in rows for p in picked])
+    y = np.array([v for _, label in rows for v in label], float)
+    g = x.T @ (1 / (1 + np.exp(-x @ w)) - y) / len(y) + logistic.RIDGE * w
+    assert np.abs(g).max() < 2e-3 and w[0] > 1 and w[1] < -1 and w[3] == 0
+
+
 # -- 2: terms ------------------------------------------------------------------
 
 
