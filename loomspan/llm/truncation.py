@@ -1,13 +1,13 @@
 """Problem 5: values that lost their end, by hashed logistic regression.
 
-Positives are made by cutting intact values of a bounded sample: at a random
+Positives are made by cutting all values that are intact: at a random
 character, at the field limits the sources show, or with a mark of the cut put
 behind. Cuts that happen to fall on the end of a sentence or line stay
 negatives, like the uncut values. Features look at the closing characters and
 punctuation, the last words, the unfinished sentence or line as a whole, whether
 other values have it as a whole line or entry before their end, and the distance
-to the limits of the source. The limits come from the length
-counts of all values.
+to the limits of the source. Limits, words and
+characters are counted over all values, and the model is fitted on all of them.
 """
 
 from __future__ import annotations
@@ -22,14 +22,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomspan.llm.encoding import Model, page_and_product_texts, suspicious
-from loomspan.llm.sampling import hashed_sample
+from loomspan.llm import encoding, logistic
+from loomspan.llm.encoding import Model, page_and_product_texts
+from loomspan.session import persisted
 
-SAMPLE_VALUES = 4_000
 CUTS = 3
-DIMENSIONS = 1 << 18
-EPOCHS = 8
 SEED = 11
+#: Words, lines and closing phrases count as known from so many on.
+MIN_KNOWN = 3
+BLOCK_VALUES = 1_000
 LIMIT_SHARE, LIMIT_ROWS = 0.01, 20
 THRESHOLD = 0.5
 
@@ -50,16 +51,39 @@ def items(line: str) -> list[str]:
 def _tail(text: str) -> tuple[str, bool]:
     """The last sentence or line with its end, and whether it opens its line."""
     body = text.rstrip()
-    at, line = 0, 0
-    for m in _SENTENCE_END.finditer(body):
-        if m.end() < len(body):
-            at = m.end()
-            if "\n" in m.group():
-                line = m.end()
-    return body[at:], at == line
+    back = 300
+    while True:
+        start = max(0, len(body) - back)
+        # Searched from the end, never from inside a run of spaces.
+        while start > 0 and (body[start - 1].isspace() or body[start].isspace()):
+            start -= 1
+        last = None
+        for m in _SENTENCE_END.finditer(body, start):
+            if m.end() < len(body):
+                last = m
+        if last is not None or start == 0:
+            break
+        back *= 4
+    return body[last.end() if last else 0 :], last is None or "\n" in last.group()
 
 
-def features(text: str, limits: tuple[int, ...], known: set[str]) -> list[int]:
+class Known:
+    """A set of texts kept as sorted hashes, 8 bytes each."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = np.sort(hashes)
+
+    def __contains__(self, text: str) -> bool:
+        wanted = _hash(text)
+        at = self.hashes.searchsorted(wanted)
+        return at < len(self.hashes) and self.hashes[at] == wanted
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) >> 1
+
+
+def features(text: str, limits: tuple[int, ...], known: Known) -> list[int]:
     """Hashed features of how a value ends."""
     tail, opens = _tail(text)
     mark = _MARK.search(tail)
@@ -92,7 +116,7 @@ def features(text: str, limits: tuple[int, ...], known: set[str]) -> list[int]:
     near = min((abs(size - x) for x in limits if x > 0), default=99)
     near_raw = min((-x - raw if -x >= raw else 99 for x in limits if x < 0), default=99)
     out.append(f"limit:{'at' if near <= 1 or 0 <= near_raw <= 2 else 'off'}:{kind}")
-    return [xxhash.xxh3_64_intdigest(f) % DIMENSIONS for f in out]
+    return logistic.ids(out)
 
 
 def source_limits(texts: DataFrame) -> dict[tuple[str, str], tuple[int, ...]]:
@@ -139,68 +163,76 @@ class Ends:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def train(texts: DataFrame) -> Ends:
-    """Fit on about SAMPLE_VALUES values of each table, those with the smallest id hashes."""
-    limits = source_limits(texts)
-    rows = []
-    for tbl in ("external_pages", "source_products"):
-        part = texts.filter((F.col("tbl") == tbl) & (F.trim("text") != ""))
-        sample = hashed_sample(part, "row_id", SAMPLE_VALUES).dropDuplicates(["row_id"])
-        rows += sorted(sample.select("row_id", "tbl", "source", "text").collect(), key=lambda r: r["row_id"])
-    characters = Counter(c for r in rows if not suspicious(r["text"]) for c in r["text"] if c > "\x7f")
-    total = sum(characters.values()) or 1
-    logs = {c: math.log(n / total) for c, n in characters.items()}
-    vocabulary: Counter = Counter()
-    for r in rows:
-        # The last word of a value may be torn; all others are whole.
-        vocabulary.update({x.strip(".,;:!?()\"'“”’«»") for x in _DIGITS.sub("0", r["text"].lower()).split()[:-1]})
-        lines = [line for line in r["text"].rstrip().split("\n")[:-1] if len(line) < 200]
-        vocabulary.update({"\n" + x for line in lines for x in items(line)})
-    known = {w for w, n in vocabulary.items() if n >= 3}
-    rng = np.random.default_rng(SEED)
-    every = sorted({x for found in limits.values() for x in found if x > 0})
-    data, labels = [], []
-    # A marked ending that several values share is a closing phrase, not a cut.
-    shared = Counter(_tail(r["text"])[0] for r in rows if _MARK.search(r["text"].rstrip()))
-    for r in rows:
-        text, own = r["text"], limits.get((r["tbl"], r["source"] or ""), ())
+def _count_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(entry, n): hashes of whole words, of whole lines and entries, and of the last sentences that end in a mark."""
+    for batch in batches:
+        counts: Counter = Counter()
+        for text in batch["text"].to_pylist():
+            # The last word of a value may be torn; all others are whole.
+            counts.update({x.strip(".,;:!?()\"'“”’«»") for x in _DIGITS.sub("0", text.lower()).split()[:-1]})
+            lines = [line for line in text.rstrip().split("\n")[:-1] if len(line) < 200]
+            counts.update({"\n" + x for line in lines for x in items(line)})
+            if _MARK.search(text.rstrip()):
+                counts["\0" + _tail(text)[0]] += 1
+        hashes = [_hash(x) for x in counts]
+        yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["entry", "n"])
+
+
+def known_entries(texts: DataFrame) -> Known:
+    """What MIN_KNOWN values have; 8 bytes an entry come to the driver."""
+    counted = texts.select("text").mapInArrow(_count_known, "entry long, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+    hashes = counted.filter(F.col("n") >= MIN_KNOWN).select("entry").toArrow()["entry"]
+    return Known(np.array(hashes.to_numpy(), np.int64))
+
+
+def _examples(known: Known, limits: dict[tuple[str, str], tuple[int, ...]]):
+    """Blocks of the values as they are, if intact, and of CUTS cuts of each."""
+    every = tuple(sorted({x for found in limits.values() for x in found if x > 0}))
+
+    def of(tbl: str, row_id: int, source: str | None, text: str) -> Iterator[tuple[list[int], int]]:
+        own = limits.get((tbl, source or ""), ())
         # A value at a limit of its source, or with a mark, may be cut already.
         doubtful = len(text) in own or -len(text.encode()) in own or _MARK.search(text.rstrip()) is not None
-        tail = _tail(text)[0]
-        doubtful = doubtful and not (shared[tail] >= 3 and len(tail.split()) >= 3)
+        if doubtful:
+            # A marked ending that several values share is a closing phrase, not a cut.
+            tail = _tail(text)[0]
+            doubtful = not (len(tail.split()) >= 3 and "\0" + tail in known)
         if not doubtful:
-            data.append(features(text, own, known))
-            labels.append(0)
-        for _ in range(CUTS):
-            if len(text) > 30:
-                cut, label = _cut(text, rng, tuple(every))
-                spiked = (len(cut),) if rng.random() < 0.5 else own
-                data.append(features(cut, spiked, known))
-                labels.append(label)
-    return Ends(_fit(data, labels), known, limits, logs)
-
-
-def _fit(data: list[list[int]], labels: list[int]) -> np.ndarray:
-    """Logistic regression by AdaGrad on hashed indicator features."""
-    w, g2 = np.zeros(DIMENSIONS, np.float32), np.full(DIMENSIONS, 1e-2, np.float32)
-    if not data:
-        return w
-    rng = np.random.default_rng(SEED)
-    y = np.array(labels, float)
-    flat_rows = [np.array(d, np.int64) for d in data]
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(data))
-        for at in range(0, len(order), 512):
-            batch = order[at : at + 512]
-            flat = np.concatenate([flat_rows[b] for b in batch])
-            owner = np.repeat(np.arange(len(batch)), [len(flat_rows[b]) for b in batch])
-            z = np.bincount(owner, w[flat], len(batch))
-            error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[batch]) / len(batch)
-            touched, place = np.unique(flat, return_inverse=True)
-            g = np.bincount(place, error[owner], len(touched)) + 1e-6 * w[touched]
-            g2[touched] += g * g
-            w[touched] -= 0.3 * g / np.sqrt(g2[touched])
-    return w
+            yield features(text, own, known), 0
+        if len(text) > 30:
+            # The cuts of a value depend on nothing but its id.
+            rng = np.random.default_rng([SEED, _hash(f"{tbl}:{row_id}")])
+            for _ in range(CUTS):
+                cut, label = _cut(text, rng, every)
+                yield features(cut, (len(cut),) if rng.random() < 0.5 else own, known), label
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK_VALUES):
+                batch = whole.slice(at, BLOCK_VALUES)
+                rows = zip(*(batch[c].to_pylist() for c in ("tbl", "row_id", "source", "text")))
+                data = [x for row in rows for x in of(*row)]
+                if data:
+                    n = len(data)
+                    yield logistic.block([d for d, _ in data], range(n), np.zeros(n), [y for _, y in data], np.zeros(n), np.ones(n))
+
+    return run
+
+
+def every_example(b: logistic.Block) -> tuple[np.ndarray, np.ndarray]:
+    return b.label, np.ones(len(b.label), bool)
+
+
+def train(texts: DataFrame) -> Ends:
+    """Fit on all values; repeated rows count as often as they stand there.
+
+    Values are judged by a model that has seen them, so features of less than
+    MIN_KNOWN examples weigh nothing and the penalty holds the rare ones back.
+    """
+    values = texts.select("tbl", "row_id", "source", "text").filter(F.trim("text") != "")
+    limits, known = source_limits(texts), known_entries(values)
+    blocks = persisted(values.mapInArrow(_examples(known, limits), logistic.SCHEMA), "cut-examples")
+    return Ends(logistic.fit(blocks, every_example, least=MIN_KNOWN), known, limits, encoding.train(values))
 
 
 def _scorer(ends_of):

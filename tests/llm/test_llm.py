@@ -193,6 +193,27 @@ def test_cuts_are_found_in_held_out_values(spark):
     assert truncation.scored(df.limit(0)).count() == 0
 
 
+def test_ends_learn_from_every_value(spark):
+    rows = [("source_products", i, "f", "Plain text of value.") for i in range(9000)]
+    rows += [("source_products", 9000 + i, "f", f"Word rare{chr(97 + i // 3) * 3} {'œжøłñ'[i // 3]} stands here.") for i in range(15)]
+    ends = truncation.train(spark.createDataFrame(rows, "tbl string, row_id long, source string, text string"))
+    # Words and characters of three values in 9,015 are counted.
+    assert all("rare" + c * 3 in ends.known for c in "abcde") and "rarefff" not in ends.known
+    assert set(ends.model.logs) == set("œжøłñ")
+
+
+def test_the_tail_is_found_from_the_end():
+    rng = random.Random(8)
+    for _ in range(3000):
+        text = "".join(rng.choices(["a", "bc", " ", "\n", ". ", ".", "。", "  \n", "word " * 90], [8, 8, 6, 1, 1, 1, 1, 1, 1], k=rng.randint(0, 30)))
+        body, at, line = text.rstrip(), 0, 0
+        for m in truncation._SENTENCE_END.finditer(body):
+            if m.end() < len(body):
+                at = m.end()
+                line = m.end() if "\n" in m.group() else line
+        assert truncation._tail(text) == (body[at:], at == line)
+
+
 # -- 6: near duplicates --------------------------------------------------------
 
 
