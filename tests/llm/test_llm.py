@@ -173,6 +173,14 @@ def test_residue_needs_two_sources(spark):
     assert residue.residue(df.limit(0)).count() == 0
 
 
+def test_residue_judges_by_a_model_of_all_pages(spark):
+    rows = [(i, None, None, f"Plain page {i}", 0, 0) for i in range(8000)] + [(8000 + i, None, None, f"Line {c}", 0, 0) for i, c in enumerate("œжøłñąßčďę")]
+    held = spark.createDataFrame([(1, [5])], "page_id long, residue array<long>")
+    # Asked for one page as p4 does, with its column.
+    joined, (_, logs) = frames.prepared(_pages(spark, rows), held)
+    assert set(logs) == set("œжøłñąßčďę") and [tuple(r) for r in joined.select("page_id", "residue").collect()] == [(1, [5])]
+
+
 # -- 5: truncation -------------------------------------------------------------
 
 
