@@ -64,6 +64,35 @@ def test_frames_learn_from_every_page(spark):
     assert set(logs) == set("œжøłñąßčďę") and weights[0][frames.logistic.ids(["l:nav alpha"])[0]] > 0
 
 
+def test_texts_are_read_three_times(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    text = "Log in\nAcme{0}x\nReal sentences stand here with many plain words in a row and then they end, page {0}."
+    rows = [(i, f"https://s.example/products/acme{i}x", f"https://h{i % 3}.example/", text.format(i), 0, 0) for i in range(40)]
+    pages = _pages(spark, rows)
+    assert frames.frame_lines(pages.mapInArrow(counted, pages.schema)).count() == 40
+    # For characters, shares and lines; fits and cuts work on what was kept.
+    assert read.value == 120
+
+
+def test_kept_pages_are_cut_alike():
+    rng = np.random.default_rng(6)
+    weights = tuple(rng.normal(size=frames.logistic.DIMENSIONS).astype(np.float32) for _ in range(2))
+    texts = [f"Home | Blog\nAcme{i}x\n  Some words stand here, and they go on for a good while until the line ends.\n\n© 2024 Acme\n{'word ' * i}" for i in range(30)]
+    known = frames.Known(weights, {})
+    p = frames.Pages(texts, [f"https://s.example/acme{i}x" for i in range(30)], known)
+    share, labeller = np.linspace(0, 1, p.size), frames.Labeller(weights, {})
+    p.see(share, np.full(30, 25))
+    row = {**p.packed(), **frames._examples(p, True)}
+    again = frames.Pages.kept(row, weights)
+    assert (labeller.frame(again, again.share) == labeller.frame(p, share)).all() and (again.last_prose == p.last_prose).all()
+
+
 def test_a_fit_sums_all_blocks(spark):
     logistic = frames.logistic
     rng = np.random.default_rng(5)
