@@ -1,6 +1,7 @@
 import itertools
 import random
 import string
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -210,6 +211,17 @@ def test_residue_judges_by_a_model_of_all_pages(spark):
     assert set(logs) == set("œжøłñąßčďę") and [tuple(r) for r in joined.select("page_id", "residue").collect()] == [(1, [5])]
 
 
+def test_residue_leaves_no_blocks_of_pages(spark):
+    from loomspan.session import shared_dir
+
+    folder = Path(shared_dir(spark).removeprefix("file://"), "loomspan")
+    kept = lambda: {x.name for x in folder.glob("*") if x.name.startswith(("frame-examples", "line-counts"))}
+    before = kept()
+    rows = [(i, None, f"https://h{i}.example/", None, "404 Not Found\nThe page you are looking for does not exist or has moved.", None) for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, source_url string, final_url string, title string, text string, description string")
+    assert residue.residue(df).count() == 3 and kept() <= before
+
+
 # -- 5: truncation -------------------------------------------------------------
 
 
