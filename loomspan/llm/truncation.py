@@ -31,6 +31,8 @@ SEED = 11
 #: Words, lines and closing phrases count as known from so many on.
 MIN_KNOWN = 3
 BLOCK_VALUES = 1_000
+#: Answers and lines kept for those that come again.
+REMEMBERED = 100_000
 LIMIT_SHARE, LIMIT_ROWS = 0.01, 20
 THRESHOLD = 0.5
 
@@ -38,6 +40,8 @@ _SENTENCE_END = re.compile(r"(?<=[.!?。！？])\s+|\n+|(?<=[。！？])")
 _TERMINAL = re.compile(r"[.!?。！？][\"'”’»)\]]*$")
 _MARK = re.compile(r"\s*(?:…|\.\.\.|\[\.\.\.\]|\[…\]|\(\.\.\.\)|-{2,})$")
 _MARKS = ("", "", "", "…", "...", " …", " [...]")
+#: What a mark and the end of a sentence end in; others need no search.
+_MARK_LAST, _TERMINAL_LAST = frozenset("….])-"), frozenset(".!?。！？\"'”’»)]")
 _DIGITS = re.compile(r"\d+")
 _ITEM = re.compile(r"\s*[|·/•»]\s*|\s{2,}|\s[–—-]\s|(?<=[.!?])\s")
 
@@ -67,16 +71,32 @@ def _tail(text: str) -> tuple[str, bool]:
     return body[last.end() if last else 0 :], last is None or "\n" in last.group()
 
 
+def _mark(text: str) -> re.Match | None:
+    """The mark of a cut at the end of a text without trailing space."""
+    return _MARK.search(text) if text[-1:] in _MARK_LAST else None
+
+
+def _terminal(text: str) -> bool:
+    """Whether a text without trailing space ends as a sentence does."""
+    return text[-1:] in _TERMINAL_LAST and _TERMINAL.search(text) is not None
+
+
 class Known:
     """A set of texts kept as sorted hashes, 8 bytes each."""
 
     def __init__(self, hashes: np.ndarray) -> None:
         self.hashes = np.sort(hashes)
+        self.asked: dict[str, bool] = {}
 
     def __contains__(self, text: str) -> bool:
-        wanted = _hash(text)
-        at = self.hashes.searchsorted(wanted)
-        return at < len(self.hashes) and self.hashes[at] == wanted
+        found = self.asked.get(text)
+        if found is None:
+            if len(self.asked) > REMEMBERED:
+                self.asked.clear()
+            wanted = _hash(text)
+            at = self.hashes.searchsorted(wanted)
+            found = self.asked[text] = bool(at < len(self.hashes) and self.hashes[at] == wanted)
+        return found
 
 
 def _hash(text: str) -> int:
@@ -86,9 +106,9 @@ def _hash(text: str) -> int:
 def features(text: str, limits: tuple[int, ...], known: Known) -> list[int]:
     """Hashed features of how a value ends."""
     tail, opens = _tail(text)
-    mark = _MARK.search(tail)
+    mark = _mark(tail)
     own = tail[: mark.start()] if mark else tail
-    terminal = _TERMINAL.search(own) is not None
+    terminal = _terminal(own)
     lowered = _DIGITS.sub("0", own.lower())
     w = lowered.split()
     last = w[-1] if w else ""
@@ -141,7 +161,7 @@ def _cut(text: str, rng: np.random.Generator, limits: tuple[int, ...]) -> tuple[
     at = int(rng.choice(fitting)) if fitting and rng.random() < 0.4 else int(rng.integers(max(1, len(text) // 8), len(text)))
     head, mark = text[:at], _MARKS[int(rng.integers(len(_MARKS)))]
     following = text[at:]
-    whole = head[-1:] == "\n" or following[:1] == "\n" and not head.endswith(" ") or _TERMINAL.search(head.rstrip()) is not None and (
+    whole = head[-1:] == "\n" or following[:1] == "\n" and not head.endswith(" ") or _terminal(head.rstrip()) and (
         head[-1:].isspace() or following[:1].isspace() or head[-1:] in "。！？"
     )
     return (head.rstrip() if mark and mark[0] == " " else head) + ("" if whole else mark), int(not whole)
@@ -165,14 +185,23 @@ class Ends:
 
 def _count_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(entry, n): hashes of whole words, of whole lines and entries, and of the last sentences that end in a mark."""
+    entries: dict[str, list[str]] = {}
     for batch in batches:
         counts: Counter = Counter()
         for text in batch["text"].to_pylist():
             # The last word of a value may be torn; all others are whole.
             counts.update({x.strip(".,;:!?()\"'“”’«»") for x in _DIGITS.sub("0", text.lower()).split()[:-1]})
             lines = [line for line in text.rstrip().split("\n")[:-1] if len(line) < 200]
-            counts.update({"\n" + x for line in lines for x in items(line)})
-            if _MARK.search(text.rstrip()):
+            whole: set[str] = set()
+            for line in lines:
+                found = entries.get(line)
+                if found is None:
+                    if len(entries) > REMEMBERED:
+                        entries.clear()
+                    found = entries[line] = ["\n" + x for x in items(line)]
+                whole.update(found)
+            counts.update(whole)
+            if _mark(text.rstrip()):
                 counts["\0" + _tail(text)[0]] += 1
         hashes = [_hash(x) for x in counts]
         yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["entry", "n"])
@@ -192,7 +221,7 @@ def _examples(known: Known, limits: dict[tuple[str, str], tuple[int, ...]]):
     def of(tbl: str, row_id: int, source: str | None, text: str) -> Iterator[tuple[list[int], int]]:
         own = limits.get((tbl, source or ""), ())
         # A value at a limit of its source, or with a mark, may be cut already.
-        doubtful = len(text) in own or -len(text.encode()) in own or _MARK.search(text.rstrip()) is not None
+        doubtful = len(text) in own or -len(text.encode()) in own or _mark(text.rstrip()) is not None
         if doubtful:
             # A marked ending that several values share is a closing phrase, not a cut.
             tail = _tail(text)[0]

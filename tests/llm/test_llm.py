@@ -4,6 +4,7 @@ import string
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from loomspan.llm import encoding, frames, messages, mixing, neardup, packing, personal, residue, terms, truncation
@@ -166,6 +167,27 @@ def test_other_damage():
     assert model.repair("SÃO Paulo, NÃO")[1] == [] and model.repair("")[1] == []
 
 
+def test_characters_are_counted_in_stretches(monkeypatch):
+    rng, looked = random.Random(9), []
+    texts = ["".join(rng.choices("ab é–бÃ©ãя�ÀÈ", weights=[9, 9, 9, *[1] * 10], k=40)) for _ in range(300)] + ["é", "бвa", "Plain words, " * 50 + "é " + "and more of them. " * 50] * 20
+    counts: dict = {}
+    for text in texts:
+        for c in encoding._SUSPICIOUS.sub(" ", text):
+            if c > "\x7f":
+                counts[c] = counts.get(c, 0) + 1
+
+    class Watched:
+        def sub(self, by, text, pattern=encoding._SUSPICIOUS):
+            looked.append(len(text))
+            return pattern.sub(by, text)
+
+    monkeypatch.setattr(encoding, "_SUSPICIOUS", Watched())
+    (got,) = encoding._count_characters(iter([pa.RecordBatch.from_arrays([pa.array([*texts, None, "", "plain"])], names=["text"])]))
+    assert dict(zip(*got.to_pydict().values())) == counts
+    # The pattern sees nothing of plain words, and a stretch once.
+    assert sum(looked) < sum(map(len, texts[:300])) and max(looked) <= 40
+
+
 # -- 4: residue ----------------------------------------------------------------
 
 
