@@ -132,7 +132,8 @@ def features(text: str, limits: tuple[int, ...], known: Known) -> list[int]:
         out += ["start3:" + " ".join(w[:3]), "end2of:" + (w[0] if w else "") + ":" + " ".join(w[-1:])]
         if len(w) > 2 and w[1] in ("–", "-", "—", ":", "|", "·"):
             out.append(f"titled:{kind}:{seen}")
-    size, raw = len(text), len(text.encode())
+    size = len(text)
+    raw = len(text.encode()) if any(x < 0 for x in limits) else 0
     near = min((abs(size - x) for x in limits if x > 0), default=99)
     near_raw = min((-x - raw if -x >= raw else 99 for x in limits if x < 0), default=99)
     out.append(f"limit:{'at' if near <= 1 or 0 <= near_raw <= 2 else 'off'}:{kind}")

@@ -184,6 +184,7 @@ def test_characters_are_counted_in_stretches(monkeypatch):
     monkeypatch.setattr(encoding, "_SUSPICIOUS", Watched())
     (got,) = encoding._count_characters(iter([pa.RecordBatch.from_arrays([pa.array([*texts, None, "", "plain"])], names=["text"])]))
     assert dict(zip(*got.to_pydict().values())) == counts
+    assert all(encoding._candidates(t * k) == set(encoding._CANDIDATE.findall(t * k)) for t in texts for k in (1, 20))
     # The pattern sees nothing of plain words, and a stretch once.
     assert sum(looked) < sum(map(len, texts[:300])) and max(looked) <= 40
 
