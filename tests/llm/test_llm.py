@@ -7,7 +7,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from loomspan.llm import encoding, frames, messages, mixing, neardup, packing, personal, residue, terms, truncation
+from loomspan.llm import encoding, frames, logistic, messages, mixing, neardup, packing, personal, residue, terms, truncation
+from loomspan.session import persisted
 
 
 # -- 1: frames -----------------------------------------------------------------
@@ -512,3 +513,50 @@ def test_vocabulary_files_agree(spark):
     assert all(n > 0 for n in tokens.sizer(f"{folder}/piece_bpe_32k.model")(texts[1:]))
     df = spark.createDataFrame([(1, "two words", "x"), (2, None, "y"), (3, "", "z")], "doc_id long, text string, tokens string")
     assert {(r["doc_id"], r["tokens"]) for r in tokens.token_counts(df, ("doc_id",)).collect()} == {(1, 2), (2, 0), (3, 0)}
+
+
+def test_fit_over_many_blocks_begins_near_its_end(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    worth = rng.normal(0, 2, 300)
+    rows = []
+    for _ in range(8):
+        units = [sorted(rng.choice(300, 5, replace=False).tolist()) for _ in range(400)]
+        label = [int(worth[u].sum() > rng.normal()) for u in units]
+        rows.append(logistic.block(units, range(400), np.zeros(400), label, np.zeros(400), np.ones(400)).to_pylist()[0])
+    blocks = persisted(spark.createDataFrame(rows, logistic.SCHEMA).repartition(8), "blocks")
+    assert len(blocks.inputFiles()) >= 2 * logistic.BEGIN_FILES
+    choose = lambda b: (b.label, np.ones(len(b.label), bool))
+    one = logistic._pass
+    losses: list[float] = []
+
+    def counted(tasks, given, *rest):
+        t, g = one(tasks, given, *rest)
+        if given is not None:
+            losses.append(t[0] / t[2])
+        assert t[2] == 8 * 400  # every pass sums over all examples
+        return t, g
+
+    monkeypatch.setattr(logistic, "_pass", counted)
+    with_begin = logistic.fit(blocks, choose)
+    few, ended = len(losses), losses[-1]
+    losses.clear()
+    monkeypatch.setattr(logistic, "_beginning", lambda blocks, given, *rest: (given[3], []))
+    without = logistic.fit(blocks, choose)
+    assert few < len(losses) and ended < losses[-1] * 1.01
+    assert np.corrcoef(with_begin[:300], without[:300])[0, 1] > 0.99
+
+
+def test_lines_are_searched_together_as_one_by_one():
+    lines = ["", "Page not found", "x", "n/a", "N/A.", "ERROR 404: not found", "a@b.c page not found", "see http://x/y not found 404", "page", "not found", "Null…", "Página no encontrada!", "ページが見つかりません"]
+    assert messages.residue_lines(lines) == [messages.residue_line(x) for x in lines]
+    assert any(messages.residue_lines(lines)) and messages.residue_lines([]) == []
+    assert frames.plain_lines(["ΑΣ", "a 12 b", ""]) == ["ας", "a 0 b", ""] and frames.plain_lines([]) == []
+    assert frames.line_keys(["A  1", "a 22"])[0] == frames.line_keys(["a 22"])[0]
+
+
+def test_pages_note_blank_lines_headings_and_crumbs():
+    known = frames.Known((np.empty(0, np.float32),) * 2, {})
+    p = frames.Pages(["\na\nb\n\n c", "", "Home > Blue Lamp\nBlue lamp\nblue lamp."], [None, "http://h/x", "http://h/blue-lamp"], known)
+    assert p.owner.tolist() == [0, 0, 0, 2, 2, 2] and p.number.tolist() == [1, 2, 4, 0, 1, 2]
+    assert p.blank.tolist() == [True, False, True, False, False, False] and p.indent.tolist() == [0, 0, 1, 0, 0, 0]
+    assert p.heading.tolist() == [-1, -1, 4] and p.crumb.tolist() == [False] * 3 + [True, False, False]
