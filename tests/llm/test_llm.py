@@ -560,3 +560,10 @@ def test_pages_note_blank_lines_headings_and_crumbs():
     assert p.owner.tolist() == [0, 0, 0, 2, 2, 2] and p.number.tolist() == [1, 2, 4, 0, 1, 2]
     assert p.blank.tolist() == [True, False, True, False, False, False] and p.indent.tolist() == [0, 0, 1, 0, 0, 0]
     assert p.heading.tolist() == [-1, -1, 4] and p.crumb.tolist() == [False] * 3 + [True, False, False]
+
+
+def test_placeholders_are_sought_where_they_can_begin():
+    texts = ["a {{name}} b", "{{{ x }}}", "x {a} ${b}", "{{a}", "__init__ and __NAME__", "100 % @@x@@", "&lt;b&gt; text", "*|FNAME|*", "plain", "", "use {x} as placeholder. Dear {name}"]
+    found = [[m.span() for m in messages._PLACEHOLDER.finditer(x)] for x in texts]
+    assert all(messages.QUICK.match(x[a]) for x, spans in zip(texts, found) for a, _ in spans)
+    assert [messages.unfilled(x) for x in texts] == [True, True, True, False, True, True, True, True, False, False, True]
