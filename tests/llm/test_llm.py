@@ -567,3 +567,25 @@ def test_placeholders_are_sought_where_they_can_begin():
     found = [[m.span() for m in messages._PLACEHOLDER.finditer(x)] for x in texts]
     assert all(messages.QUICK.match(x[a]) for x, spans in zip(texts, found) for a, _ in spans)
     assert [messages.unfilled(x) for x in texts] == [True, True, True, False, True, True, True, True, False, False, True]
+
+
+def test_large_batches_are_held_in_portions(monkeypatch):
+    texts = ["Home | Blog\nWords stand here.", None, "", "x" * 500, "y", *["Log in\nOne line more."] * 20]
+    n = len(texts)
+    columns = {"page_id": range(n), "text": texts, "source_url": [None] * n, "final_url": [None] * n, "host": [""] * n, "host_pages": [None] * n}
+    columns |= {"title": [f"Title {i}." for i in range(n)], "description": [None] * n, "lines": [None] * n, "shares": [None] * n}
+    types = {"page_id": pa.int64(), "host_pages": pa.int64(), "lines": pa.list_(pa.int64()), "shares": pa.list_(pa.float64())}
+    batch = pa.RecordBatch.from_arrays([pa.array(v, types.get(c, pa.string())) for c, v in columns.items()], names=list(columns))
+    whole = list(residue._scan(iter([batch])))
+    monkeypatch.setattr(frames, "HELD_TEXT", 100)
+    parts = list(frames.portions(batch))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch])) and list(frames.portions(batch.slice(0, 0))) == []
+    assert all(p.num_rows == 1 or sum(len(x or "") for x in p["text"].to_pylist()) <= 100 for p in parts) and len(parts) > 4
+    # One page alone may be larger; what is found is the same.
+    assert sum(p.num_rows == 1 and p["text"][0].as_py() == "x" * 500 for p in parts) == 1
+    assert [r for b in residue._scan(iter([batch])) for r in b.to_pylist()] == [r for b in whole for r in b.to_pylist()]
+    texts = batch.filter(pa.compute.greater(pa.compute.binary_length(batch["text"]), 0))
+    made = list(frames._read_pages({})(iter([texts])))
+    assert len(made) > 3 and [i for b in made for i in b["page_ids"].flatten().to_pylist()] == texts["page_id"].to_pylist()
+    # Blocks are handed on as they lie in memory, empty ones too.
+    assert [{c: bytes(x) for c, x in r.items()} for b in made for r in frames.logistic.rows(b)] == [{c: v for c, v in r.items() if c != "page_ids"} for b in made for r in b.to_pylist()]
