@@ -37,11 +37,11 @@ LIMIT_SHARE, LIMIT_ROWS = 0.01, 20
 THRESHOLD = 0.5
 
 _SENTENCE_END = re.compile(r"(?<=[.!?。！？])\s+|\n+|(?<=[。！？])")
-_TERMINAL = re.compile(r"[.!?。！？][\"'”’»)\]]*$")
 _MARK = re.compile(r"\s*(?:…|\.\.\.|\[\.\.\.\]|\[…\]|\(\.\.\.\)|-{2,})$")
 _MARKS = ("", "", "", "…", "...", " …", " [...]")
-#: What a mark and the end of a sentence end in; others need no search.
-_MARK_LAST, _TERMINAL_LAST = frozenset("….])-"), frozenset(".!?。！？\"'”’»)]")
+#: What a mark ends in and is made of, what ends a sentence and what may stand behind that.
+_MARK_LAST, _MARK_ALL, _END_ALL, _CLOSING = frozenset("….])-"), "….[]()-", frozenset(".!?。！？"), "\"'”’»)]"
+_WORD_EDGE = ".,;:!?()\"'“”’«»"
 _DIGITS = re.compile(r"\d+")
 _ITEM = re.compile(r"\s*[|·/•»]\s*|\s{2,}|\s[–—-]\s|(?<=[.!?])\s")
 
@@ -55,7 +55,7 @@ def items(line: str) -> list[str]:
 def _tail(text: str) -> tuple[str, bool]:
     """The last sentence or line with its end, and whether it opens its line."""
     body = text.rstrip()
-    back = 300
+    back = 80
     while True:
         start = max(0, len(body) - back)
         # Searched from the end, never from inside a run of spaces.
@@ -73,12 +73,23 @@ def _tail(text: str) -> tuple[str, bool]:
 
 def _mark(text: str) -> re.Match | None:
     """The mark of a cut at the end of a text without trailing space."""
-    return _MARK.search(text) if text[-1:] in _MARK_LAST else None
+    # A mark and the space before it lie behind all else, so the search begins there.
+    return _MARK.search(text, len(text.rstrip(_MARK_ALL).rstrip())) if text[-1:] in _MARK_LAST else None
 
 
 def _terminal(text: str) -> bool:
     """Whether a text without trailing space ends as a sentence does."""
-    return text[-1:] in _TERMINAL_LAST and _TERMINAL.search(text) is not None
+    return text.rstrip(_CLOSING)[-1:] in _END_ALL
+
+
+class Words(dict):
+    """Words without the marks beside them, kept for those that come again."""
+
+    def __missing__(self, word: str) -> str:
+        if len(self) > REMEMBERED:
+            self.clear()
+        found = self[word] = word.strip(_WORD_EDGE)
+        return found
 
 
 class Known:
@@ -117,7 +128,7 @@ def features(text: str, limits: tuple[int, ...], known: Known) -> list[int]:
     out.append("space" if text[-1:].isspace() else "tight")
     if not terminal or mark:
         # Unseen names are capitalised or in the same sentence everywhere; a torn word is neither.
-        seen = "seen" if last.strip(".,;:!?()\"'“”’«»") in known else "torn"
+        seen = "seen" if last.strip(_WORD_EDGE) in known else "torn"
         out += [f"word:{seen}:{kind}", f"word:{seen}:{last[:1].isalpha()}:{own.split()[-1][:1].isupper() if w else False}"]
         out += ["w1:" + last, "w2:" + " ".join(w[-2:]), "all:" + lowered.strip("-•* "), f"n:{min(len(w), 9)}:{kind}"]
         out += ["start:" + " ".join(w[:2]), "first:" + (w[0] if w else ""), "shape:" + " ".join(["_"] + w[1:])]
@@ -159,7 +170,7 @@ def source_limits(texts: DataFrame) -> dict[tuple[str, str], tuple[int, ...]]:
 def _cut(text: str, rng: np.random.Generator, limits: tuple[int, ...]) -> tuple[str, int]:
     """A shortened value and whether it lost its end inside a word, sentence or line."""
     fitting = [x for x in limits if 20 < x < len(text)]
-    at = int(rng.choice(fitting)) if fitting and rng.random() < 0.4 else int(rng.integers(max(1, len(text) // 8), len(text)))
+    at = fitting[int(rng.integers(len(fitting)))] if fitting and rng.random() < 0.4 else int(rng.integers(max(1, len(text) // 8), len(text)))
     head, mark = text[:at], _MARKS[int(rng.integers(len(_MARKS)))]
     following = text[at:]
     whole = head[-1:] == "\n" or following[:1] == "\n" and not head.endswith(" ") or _terminal(head.rstrip()) and (
@@ -187,11 +198,12 @@ class Ends:
 def _count_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(entry, n): hashes of whole words, of whole lines and entries, and of the last sentences that end in a mark."""
     entries: dict[str, list[str]] = {}
+    bare = Words()
     for batch in batches:
         counts: Counter = Counter()
         for text in batch["text"].to_pylist():
             # The last word of a value may be torn; all others are whole.
-            counts.update({x.strip(".,;:!?()\"'“”’«»") for x in _DIGITS.sub("0", text.lower()).split()[:-1]})
+            counts.update(set(map(bare.__getitem__, _DIGITS.sub("0", text.lower()).split()[:-1])))
             lines = [line for line in text.rstrip().split("\n")[:-1] if len(line) < 200]
             whole: set[str] = set()
             for line in lines:

@@ -589,3 +589,21 @@ def test_large_batches_are_held_in_portions(monkeypatch):
     assert len(made) > 3 and [i for b in made for i in b["page_ids"].flatten().to_pylist()] == texts["page_id"].to_pylist()
     # Blocks are handed on as they lie in memory, empty ones too.
     assert [{c: bytes(x) for c, x in r.items()} for b in made for r in frames.logistic.rows(b)] == [{c: v for c, v in r.items() if c != "page_ids"} for b in made for r in b.to_pylist()]
+
+
+def test_ends_are_sought_at_the_end(monkeypatch):
+    import re
+
+    rng, seen, search = random.Random(9), [], truncation._MARK.search
+    terminal = re.compile(r"[.!?。！？][\"'”’»)\]]*$")
+    monkeypatch.setattr(truncation, "_MARK", type("Seen", (), {"search": staticmethod(lambda text, at=0: seen.append(text[at:]) or search(text, at))}))
+    for _ in range(5000):
+        text = "word " * 50 + "".join(rng.choices(["a", " ", "\n", "…", "...", ".", "-", "--", "[...]", "[…]", "(...)", "(", ")", "]", '"', "。", "?", "»"], k=rng.randint(0, 9)))
+        text = text.rstrip()
+        mark, whole = truncation._mark(text), search(text)
+        assert (mark and mark.span()) == (whole and whole.span()) and truncation._terminal(text) == bool(terminal.search(text))
+    # What is searched holds no word.
+    assert seen and not any("word" in x for x in seen)
+    assert truncation._mark("") is None and not truncation._terminal("") and truncation._terminal("。")
+    bare = truncation.Words()
+    assert [bare[x] for x in ("(word),", "word", "«word»", "...", "(word),")] == ["word", "word", "word", "", "word"] and len(bare) == 4
